@@ -6,8 +6,8 @@ buckets: counts per bucket add up, so sketches of any two parts merge by summing
 known within RELATIVE of its value.  ``thresholds`` reads the quartiles off and sets a fence beyond
 which a document is an outlier of its own group, and ``judge`` joins the fences back.
 
-Fences: median + SPREADS * (upper quartile - median), plus the rule's SLACK, so that a group whose
-ratios hardly vary does not lose ordinary documents; the mean word length has a lower fence as well.
+Fences: median + SPREADS * (upper quartile - median), plus the rule's SLACK and, for short texts,
+SHORT; the mean word length has a lower fence as well.
 Groups of fewer than LEAST documents take the fences of their language, or else of the whole table.
 
 Words are runs without the six ASCII white-space characters.  A null text has none; null languages
@@ -31,8 +31,11 @@ SYMBOLS = "#*$%&|<>"
 LEAST_WORDS = 50
 MOST_REPEATED = 50  # per cent of the words
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-#: Ratio -> slack added to its fence.
-SLACK = {"symbol_ratio": 0.1, "dup_line_ratio": 0.3, "repeat_ratio": 0.2, "word_length": 2.0}
+#: Ratio -> slack added to its fence, so that groups that hardly vary keep ordinary documents.
+SLACK = {"symbol_ratio": 0.1, "dup_line_ratio": 0.1, "repeat_ratio": 0.1, "word_length": 2.0}
+#: Further slack of ratios that one repeated line moves far in a short text: this much at LEAST_WORDS
+#: words, less with the root of the number of words.
+SHORT = {"dup_line_ratio": 0.6, "repeat_ratio": 0.6}
 SPREADS = 4.0
 RELATIVE = 0.01
 LEAST = 100
@@ -148,7 +151,7 @@ def judge(measured: DataFrame, fences: DataFrame) -> DataFrame:
         joined = tagged.withColumn("_key", key).withColumn("_salt", F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(SALTS)).cast("int")).join(salted, ["_key", "_salt"], "left").drop("_salt")
     inside = F.lit(True)
     for rule, ratio in _ratios().items():
-        inside &= ratio <= F.col(f"{rule}_high")
+        inside &= ratio <= F.col(f"{rule}_high") + SHORT.get(rule, 0.0) * F.sqrt(LEAST_WORDS / F.greatest("n_words", F.lit(1)))
         if rule == "word_length":
             inside &= ratio >= F.col(f"{rule}_low")
     return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True))).drop("_key", *limits)

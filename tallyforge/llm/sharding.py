@@ -7,7 +7,7 @@ Law ``bytes``: sixteen shards of near-equal size, where a document weighs its UT
    splitters of about 16 ranges a shard, so that a frequent text is spread over several ranges.
 3. Ranges that come out over twice their share are subdivided by a hash of the row number.
 4. Ranges are laid end to end by their exact sizes, and rows inside a range in key order.  A row goes
-   to the shard in which its first byte falls, so shards differ by less than the largest document.
+   to the shard in which its middle falls, so a shard is off by half its first and last document at most.
 
 The splitters are at most MAX_RANGES rows and are broadcast; ranges bound what one task sorts.
 A null text has size 1 and the checksum of the empty text.  Repeated rows count each; empty tables
@@ -109,7 +109,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     placed = written(
         placed.select(
             "doc_id", "size", "text_crc32",
-            F.least(F.lit(shards - 1), F.expr("(_byte0 + _before) * %d DIV %d" % (shards, total))).cast("int").alias("shard"),
+            F.least(F.lit(shards - 1), F.expr("((_byte0 + _before) * 2 + size) * %d DIV %d" % (shards, 2 * total))).cast("int").alias("shard"),
             (F.col("_row0") + F.col("_index")).alias("_position"),
         ),
         "shard-places",
