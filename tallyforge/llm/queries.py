@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, packing, quality, secret_scan, sharding, simhash, suffix_dedup
+from . import bpe, exact_dedup, packing, quality, secret_scan, sharding, simhash, suffix_dedup, toxicity
 from .common import documents
 
 
@@ -16,6 +16,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -53,6 +57,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_toxicity,
         op2_byte_bpe,
         op3_suffix_dedup,
         op4_sharding,
