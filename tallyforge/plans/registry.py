@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from . import kernels, matching, relational
+
+QUERIES = {**relational.QUERIES, **matching.QUERIES, **kernels.QUERIES}
+ORACLE_SQL = {**relational.ORACLE_SQL, **matching.ORACLE_SQL, **kernels.ORACLE_SQL}
