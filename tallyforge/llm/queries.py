@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact_dedup, packing, quality, secret_scan, sharding, simhash, suffix_dedup, toxicity
+from . import bpe, chat, exact_dedup, packing, quality, secret_scan, sharding, simhash, suffix_dedup, toxicity
 from .common import documents
 
 
@@ -34,6 +34,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(documents(spark, sf_dir))
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted(documents(spark, sf_dir, "conversations"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_byte_bpe,
         op3_suffix_dedup,
         op4_sharding,
+        op5_chat_format,
         op6_quality_rules,
         op7_exact_dedup,
         op8_secret_scan,
@@ -70,6 +75,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    # The table holds no tool calls; tests hold linked calls against brute force.
+    "op5_chat_format": """
+        SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, role, CAST(turn AS BIGINT) AS place, CAST(0 AS BIGINT) AS rank,
+               '{"content":' || to_json(text) || ',"role":' || to_json(role) || ',"turn":' || turn || '}' AS message,
+               CAST(0 AS BIGINT) AS n_calls, CAST(0 AS BIGINT) AS n_valid, CAST(0 AS BIGINT) AS n_answered, CAST(NULL AS BOOLEAN) AS linked
+        FROM conversations
+    """,
     "op7_exact_dedup": """
         WITH t AS (
             SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
