@@ -18,6 +18,8 @@ Empty tables give empty results.  Sequence ids hold the task's partition number
 from __future__ import annotations
 
 import heapq
+import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -32,7 +34,7 @@ from .common import bounded_batches
 CAPACITY = 4096
 END_ID = 2
 GROUP_TOKENS = 1 << 20
-#: Words whose ids a worker remembers; beyond it the memory starts afresh.
+#: Words and parts whose ids a worker remembers; beyond it the memory starts afresh.
 REMEMBERED = 600_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
@@ -43,28 +45,54 @@ _memory: dict = {}
 class WordEncoder:
     """Ids of whole texts, from the library's ids of each white-space separated word.
 
-    The vocabulary drops white space and never merges across it, so a text's ids are its words' ids
-    in turn; tests hold this against the library on whole texts.
+    The vocabulary drops white space and never merges across it, nor across the border of letters and
+    punctuation, so a text's ids are those of its parts in turn.  A plain word, Latin letters and at
+    most some closing marks, goes to the library's merges directly, in lower case; any other word goes
+    through the whole library.  Tests hold this against the library on whole texts.
     """
 
+    PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)([.,!?;:]*)")
+
     def __init__(self, definition: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.known = Tokenizer.from_str(definition), {}
-
-    def learn(self, texts: list[list[bytes]]) -> None:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        fresh = list({w for words in texts for w in words if w not in known})
-        for at in range(0, len(fresh), 50_000):
-            part = fresh[at : at + 50_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+        self.tokenizer = Tokenizer.from_str(definition)
+        self.merge = self.tokenizer.model.tokenize
+        # How the library spells each plain letter's bytes before it merges them.
+        letters = [chr(c) for c in (*range(97, 123), *range(0xDF, 0xF7), *range(0xF8, 0x100))]
+        self.spelling = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters}
+        self.known: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
+
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def learn(self, word: bytes) -> bytes:
+        text = word.decode()
+        plain = self.PLAIN.fullmatch(text)
+        if plain is None:
+            return self._whole(text)
+        letters, marks = plain[1].lower(), plain[2]
+        if (head := self.parts.get(letters)) is None:
+            head = self.parts[letters] = np.array([t.id for t in self.merge(letters.translate(self.spelling))], "<u4").tobytes()
+        if (end := self.parts.get(marks)) is None:
+            end = self.parts[marks] = self._whole(marks)
+        return head + end
 
     def encode(self, words: list[bytes]) -> bytes:
         """Little-endian unsigned 32-bit ids."""
-        return b"".join(map(self.known.__getitem__, words))
+        known = self.known
+        cells = list(map(known.get, words))
+        if None in cells:
+            if len(known) + len(self.parts) > REMEMBERED:
+                known.clear()
+                self.parts = {"": b""}
+            for w in words:
+                if w not in known:
+                    known[w] = self.learn(w)
+            cells = map(known.__getitem__, words)
+        return b"".join(cells)
 
 
 def difference(sizes: np.ndarray, k: int) -> list[list[int]]:
@@ -178,10 +206,8 @@ def pack(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id:
         ids: list[bytes] = []
         doc_ids: list = []
         for batch in batches:
-            words = [(t or b"").split() for t in batch.column("text").to_pylist()]
-            encoder.learn(words)
-            for doc_id, w in zip(batch.column("doc_id").to_pylist(), words, strict=True):
-                ids.append(encoder.encode(w) + end)
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                ids.append(encoder.encode((text or b"").split()) + end)
                 doc_ids.append(doc_id)
                 tokens += len(ids[-1]) // 4
                 if tokens >= group_tokens:
