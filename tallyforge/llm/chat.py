@@ -184,7 +184,7 @@ def formatted(messages: DataFrame, schemas: dict[str, dict] | None = None) -> Da
     )
     busy = rows.filter("answers is not null or size(calls) > 0").join(told, "_row", "left").join(waits, "_row", "left").join(own, "_row", "left")
     quiet = rows.filter("answers is null and size(calls) = 0").select("conv_id", "turn", "role", "content")
-    quoted = F.coalesce(_json("content"), F.lit("null"))
+    quoted = F.when(F.col("content").isNull(), "null").otherwise(_json("content"))
     role, turn = _json("role"), F.coalesce(F.col("turn").cast("string"), F.lit("null"))
     zero = F.lit(0).cast("long")
     plain = quiet.select(

@@ -125,9 +125,10 @@ def report(docs: DataFrame, repository: Column | None = None, owner: Column | No
     rows = found.select("_row", "_own_doc_id").join(classified(found), "_row", "left").select(F.col("_own_doc_id").alias("doc_id"), all_spans.alias("spans"))
     base = F.filter("spans", lambda s: s["kind"] < len(BASE))
     count = lambda test: F.size(F.filter("spans", test)).cast("long")
+    of_kind = lambda k: count(lambda s: s["kind"] == k)
     return rows.select(
         "doc_id",
-        *(count(lambda s, k=k: s["kind"] == k).alias(f"n_{name}") for k, name in enumerate(BASE)),
+        *(of_kind(k).alias(f"n_{name}") for k, name in enumerate(BASE)),
         F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"),
         _joined(F.col("spans")).alias("spans"),
         count(lambda s: s["live"]).alias("n_live"),
