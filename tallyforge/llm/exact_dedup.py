@@ -66,13 +66,10 @@ def deduplicate(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
 
     Copies of frequent texts go before the shuffle; what is left is shuffled by digest.
     """
-    columns = docs.columns
-    keys = written(docs.select("doc_id", digest().alias("_sha")), "exact-digests")
-    winners = written(_frequent(keys, "_sha", F.struct("doc_id"), support).select("_sha", F.col("_keep.doc_id").alias("_keep_id")), "exact-winners")
-    left = (
-        docs.withColumn("_sha", digest())
-        .join(F.broadcast(winners.withColumn("_heavy", F.lit(True))), "_sha", "left")
-        .filter(F.col("_heavy").isNull() | F.col("doc_id").eqNullSafe(F.col("_keep_id")))
-    )
-    order = Window.partitionBy("_sha").orderBy(F.col("doc_id").desc_nulls_last())
-    return left.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").select(*columns)
+    # Documents travel as one struct, so their columns cannot clash with the operator's own.
+    rows = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", digest().alias("sha"))
+    keys = written(rows.select("doc_id", "sha"), "exact-digests")
+    winners = _frequent(keys, "sha", F.struct("doc_id"), support).select("sha", F.col("_keep.doc_id").alias("keep_id"), F.lit(True).alias("heavy"))
+    left = rows.join(F.broadcast(written(winners, "exact-winners")), "sha", "left").filter(F.col("heavy").isNull() | F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    order = Window.partitionBy("sha").orderBy(F.col("doc_id").desc_nulls_last())
+    return left.withColumn("rank", F.row_number().over(order)).filter("rank = 1").select("doc.*")

@@ -138,7 +138,7 @@ def judge(measured: DataFrame, fences: DataFrame) -> DataFrame:
     whole = fences.filter("level = 2")
     langs = fences.filter("level = 1")
     own = fences.filter("level = 0")
-    f = own.alias("f").join(F.broadcast(langs.alias("l")) if _small(langs) else langs.alias("l"), F.expr("f.g_lang <=> l.g_lang")).crossJoin(F.broadcast(whole.alias("w")))  # whole: one row
+    f = own.alias("f").join(F.broadcast(langs.alias("l")) if _small(langs) else langs.alias("l"), F.expr("f.g_lang <=> l.g_lang")).join(F.broadcast(whole.alias("w")), F.expr("w.level = f.level + 2"))  # whole: one row
     picked = f.select(
         F.col("f.g_lang").alias("lang"), F.col("f.g_source").alias("source"),
         F.expr(f"CASE WHEN f.members >= {LEAST} THEN 0 WHEN l.members >= {LEAST} THEN 1 ELSE 2 END").alias("fence_level"),

@@ -81,12 +81,26 @@ class Words:
         return out
 
 
+def split_long(text: bytes) -> list[bytes]:
+    """A very long text in parts that have the same windows together as the whole."""
+    if len(text) <= SCORED_BYTES:
+        return [text]
+    words = clean(text)
+    step = SCORED_BYTES // 8 // STRIDE * STRIDE
+    return [b" ".join(words[i : i + step + WINDOW - STRIDE]) for i in range(0, max(1, len(words) - (WINDOW - STRIDE)), step)]
+
+
+def clean(text: bytes) -> list[bytes]:
+    """Lower-case words without punctuation."""
+    return text.lower().translate(None, _DROPPED).split()
+
+
 def read(texts: list[bytes]) -> tuple[Words, np.ndarray, np.ndarray]:
     """Distinct words, windows of their numbers (-1: none) and each window's text."""
     numbers: dict[bytes, int] = {}
     number, parts, sizes = numbers.setdefault, [], []
     for text in texts:
-        own = np.array([number(w, len(numbers)) for w in text.lower().translate(None, _DROPPED).split()], np.int64)
+        own = np.array([number(w, len(numbers)) for w in clean(text)], np.int64)
         parts.append(own)
         sizes.append(len(own))
     sizes = np.array(sizes, np.int64)
@@ -194,8 +208,11 @@ class Network:
 
     def score(self, texts: list[bytes]) -> np.ndarray:
         """Of each text the strongest window's calibrated probability."""
-        words, windows, of = read(texts)
-        return _sigmoid(self.scale * _strongest(self.logits(words, windows), of, len(texts))[0] + self.shift)
+        parts = [(k, part) for k, text in enumerate(texts) for part in split_long(text)]
+        words, windows, of = read([part for _, part in parts])
+        strongest = np.full(len(texts), -np.inf)
+        np.maximum.at(strongest, [k for k, _ in parts], _strongest(self.logits(words, windows), of, len(parts))[0])
+        return _sigmoid(self.scale * strongest + self.shift)
 
     def logits(self, words: Words, windows: np.ndarray, many: int = 4096) -> np.ndarray:
         gates = self.gates(self.inputs(words))
