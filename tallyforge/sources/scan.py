@@ -41,7 +41,10 @@ def skipped(paths: DataFrame, cfg: Config) -> DataFrame:
 
 
 def list_files(spark: SparkSession, root: str, cfg: Config) -> DataFrame:
-    """path of each file in the box folders; contents are pruned, so no bytes are read."""
+    """path of each file in the box folders; contents are pruned, so no bytes are read.
+
+    Files without a byte are not listed: they are scans still to come.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[jJ][pP]*[gG]").load(f"{root}/{cfg.filename.box_prefix}*")
     return files.select("path")
 

@@ -12,7 +12,8 @@ from ..sources.scan import manifest
 
 def new_files(spark: SparkSession, root: str, cfg: Config) -> DataFrame:
     """path of files as they appear; contents are never read."""
-    stream = spark.readStream.format("binaryFile").option("pathGlobFilter", "*.[jJ][pP]*[gG]").load(f"{root}/{cfg.filename.box_prefix}*")
+    columns = "path string, modificationTime timestamp, length long, content binary"
+    stream = spark.readStream.format("binaryFile").schema(columns).option("pathGlobFilter", "*.[jJ][pP]*[gG]").load(f"{root}/{cfg.filename.box_prefix}*")
     return stream.select("path")
 
 

@@ -120,14 +120,14 @@ def test_scan_and_watch(spark, tmp_path):
     root = tmp_path / "scans"
     for name in ("AB-1/AB-1+001.jpg", "AB-1/AB-1+002.JPG.part", "AB-1/odd.jpg", "AB-1/.AB-1+9.jpg", "CD-1/AB-1+5.jpg"):
         (root / name).parent.mkdir(parents=True, exist_ok=True)
-        (root / name).write_bytes(b"")
+        (root / name).write_bytes(b"x")
     paths = scan.list_files(spark, str(root), CFG)
     assert [(r["box"], r["seq"], r["status"]) for r in scan.manifest(paths, CFG).collect()] == [("AB-1", "001", "pending")]
     assert scan.skipped(paths, CFG).first()["n"] == 1
     assert [r["box"] for r in scan.boxes_on_disk(paths).collect()] == ["AB-1"]
     table, log = str(tmp_path / "t"), str(tmp_path / "c")
     watch(spark, str(root), table, log, CFG, None).awaitTermination(120)
-    (root / "AB-1/AB-1+003.jpeg").write_bytes(b"")
+    (root / "AB-1/AB-1+003.jpeg").write_bytes(b"x")
     watch(spark, str(root), table, log, CFG, None).awaitTermination(120)
     watch(spark, str(root), table, str(tmp_path / "other"), CFG, None).awaitTermination(120)  # a lost log adds nothing twice
     assert sorted(r["seq"] for r in spark.read.parquet(table).collect()) == ["001", "003"]
