@@ -22,7 +22,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +30,9 @@ from .common import bounded_batches, shuffle_width, written
 
 BLOCK_BYTES = 32 << 20
 REMEMBERED = 1_000_000
+#: The bucket number of documents, which orders them behind the replies.
+LAST = (1 << 31) - 1
+_ROW = "block long, bucket int, words binary, docs binary"
 _memory: dict = {}
 
 
@@ -64,55 +66,75 @@ class TokenBytes:
         return self.data[ragged(self.starts[ids], self.lengths[ids])].tobytes()
 
 
-def _requests(docs: DataFrame, pattern: str, buckets: int, block_bytes: int) -> DataFrame:
-    """block, bucket, words (one row a bucket) and docs (one row a block, bucket -1); written."""
-    schema = "block long, bucket int, words binary, docs binary"
-    spark = docs.sparkSession
-    types, names = arrow_types(spark, schema), [c.split()[0] for c in schema.split(", ")]
+class Block:
+    """Consecutive documents: their distinct pre-tokens, dealt to buckets, and each position's number."""
 
-    def block_rows(block: int, doc_ids: list, texts: list[bytes], split) -> Iterator[tuple]:
+    def __init__(self, doc_ids: list, texts: list[bytes], split, buckets: int):
         numbers: dict[str, int] = {}
-        number, at, sizes = numbers.setdefault, [], []
+        number, at = numbers.setdefault, []
+        for text in texts:
+            at.append(np.array([number(w, len(numbers)) for w in split(text.decode())], dtype=np.uint32))
+        self.doc_ids, self.at = doc_ids, at
+        self.words = [w.encode() for w in numbers]
+        bucket = np.fromiter((zlib.crc32(w) % buckets for w in self.words), np.int64, len(self.words))
+        self.order = np.argsort(bucket, kind="stable")
+        self.buckets, self.edges = buckets, np.searchsorted(bucket[self.order], np.arange(buckets + 1))
+        # Named by its contents: blocks of one name have the same words and positions.
+        name = hashlib.blake2b(repr(doc_ids).encode(), digest_size=8)
         for text in texts:
-            own = np.array([number(w, len(numbers)) for w in split(text.decode())], dtype=np.uint32)
-            at.append(own)
-            sizes.append(len(own))
-        words = [w.encode() for w in numbers]
-        bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
-        order = np.argsort(bucket, kind="stable")
-        place = np.empty(len(words), np.int64)
-        place[order] = np.arange(len(words))
-        edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        for b in range(buckets):
-            if edges[b] < edges[b + 1]:
-                yield block, b, pack_strings([words[i] for i in order[edges[b] : edges[b + 1]]]), None
-        known = np.array([d is not None for d in doc_ids], np.uint8)
-        ids = np.array([d or 0 for d in doc_ids], np.int64).tobytes()
-        yield block, -1, None, pack_parts(squeeze(ids), squeeze(known.tobytes()), pack_numbers(np.array(sizes)), pack_numbers(place), pack_numbers(np.concatenate(at)))
+            name.update(len(text).to_bytes(8, "little"))
+            name.update(text)
+        self.name = int.from_bytes(name.digest(), "big", signed=True)
+
+    def asked(self) -> Iterator[tuple]:
+        for b in range(self.buckets):
+            if self.edges[b] < self.edges[b + 1]:
+                yield self.name, b, pack_strings([self.words[i] for i in self.order[self.edges[b] : self.edges[b + 1]]]), None
+
+    def documents(self) -> tuple:
+        """Positions hold ranks by frequency, which take the least room."""
+        at = np.concatenate(self.at)
+        ranked = np.argsort(-np.bincount(at, minlength=len(self.words)), kind="stable")
+        rank, place = np.empty(len(ranked), np.int64), np.empty(len(ranked), np.int64)
+        rank[ranked] = np.arange(len(ranked))
+        place[self.order] = np.arange(len(ranked))
+        known = np.array([d is not None for d in self.doc_ids], np.uint8)
+        ids = np.array([d or 0 for d in self.doc_ids], np.int64).tobytes()
+        sizes = np.array(list(map(len, self.at)))
+        return self.name, LAST, None, pack_parts(squeeze(ids), squeeze(known.tobytes()), pack_numbers(sizes), pack_numbers(place[ranked]), pack_numbers(rank[at]))
+
+
+def _blocks(docs: DataFrame, pattern: str, buckets: int, block_bytes: int, rows_of) -> DataFrame:
+    """block, bucket, words, docs: what ``rows_of`` gives for each block."""
+    spark = docs.sparkSession
+    types, names = arrow_types(spark, _ROW), [c.split()[0] for c in _ROW.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
         split = regex.compile(pattern).findall
-        block = TaskContext.get().partitionId() << 32
         for doc_ids, texts in document_blocks(batches, block_bytes):
-            yield from arrow_rows(block_rows(block, doc_ids, texts, split), names, types)
-            block += 1
+            yield from arrow_rows(rows_of(Block(doc_ids, texts, split, buckets)), names, types)
 
     bounded_batches(spark)
-    return written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, schema), "bpe-requests", "none")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, _ROW)
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, block_bytes: int = BLOCK_BYTES, finish=None, schema: str = "doc_id long, ids binary") -> DataFrame:
+def encode(docs: DataFrame, ranks_path: str, pattern: str, block_bytes: int = BLOCK_BYTES, finish=None, schema: str = "doc_id long, ids binary", stored: bool = False) -> DataFrame:
     """doc_id and its token ids as little-endian unsigned 32-bit integers, or what ``finish(ids)`` makes of them.
 
-    ``finish`` takes an array of ids and returns the further columns of ``schema``.
+    ``finish`` takes an array of ids and returns the further columns of ``schema``.  The documents are
+    read twice, once for their words and once for their positions, and must come in the same order
+    both times: ``stored`` says that ``docs`` is read from files; anything else is written first.
     """
     spark = docs.sparkSession
+    if not stored:
+        docs = written(docs.select("doc_id", "text"), "bpe-documents")
     table = read_ranks(ranks_path)
     ranks = spark.sparkContext.broadcast(table)
     width = shuffle_width(spark)
-    requests = _requests(docs, pattern, width, block_bytes)
+    words = _blocks(docs, pattern, width, block_bytes, Block.asked).select("block", "bucket", "words")
+    documents = _blocks(docs, pattern, width, block_bytes, lambda block: [block.documents()])
 
     def answer(bucket: int, rows: Iterator[dict]) -> Iterator[tuple]:
         piece, known = encoder(pattern, ranks.value).encode_ordinary, {}
@@ -128,9 +150,12 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, block_bytes: int = BL
             yield row["block"], bucket, pack_parts(pack_numbers(lengths), pack_numbers(np.frombuffer(b"".join(cells), "<u4"))), None
 
     def assemble(block: int, rows: Iterator[dict]) -> Iterator[tuple]:
-        lengths, ids = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
+        lengths, ids, last = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], -1
         for row in rows:  # replies by bucket, then the documents
             if row["docs"] is None:
+                if row["bucket"] == last:  # another block of the same contents asked as well
+                    continue
+                last = row["bucket"]
                 n, i = map(unpack_numbers, unpack_parts(row["words"]))
                 lengths.append(n)
                 ids.append(i)
@@ -140,6 +165,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, block_bytes: int = BL
             start = np.cumsum(size) - size
             doc_ids, known, counts, place, at = unpack_parts(row["docs"])
             place = unpack_numbers(place).astype(np.int64)
+            if len(place) != len(size):
+                raise RuntimeError("the documents changed between the two passes")
             size, start = size[place], start[place]
             at, done = unpack_numbers(at).astype(np.int64), 0
             for doc_id, is_known, n in zip(np.frombuffer(expand(doc_ids), np.int64).tolist(), expand(known), unpack_numbers(counts).tolist(), strict=True):
@@ -148,10 +175,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, block_bytes: int = BL
                 own = pool[ragged(start[words], size[words])]
                 yield (doc_id if is_known else None, *((own.astype("<u4").tobytes(),) if finish is None else finish(own)))
 
-    # The widest bucket number orders the documents behind the replies.
-    replies = by_key(requests.filter("words is not null").select("block", "bucket", "words"), "bucket", width, answer, "block long, bucket int, words binary, docs binary")
-    both = replies.unionByName(requests.filter("docs is not null").withColumn("bucket", F.lit((1 << 31) - 1)))
-    return by_key(both, "block", width, assemble, schema, ("bucket",))
+    replies = by_key(words, "bucket", width, answer, _ROW)
+    return by_key(replies.unionByName(documents), "block", width, assemble, schema, ("bucket",))
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -174,7 +199,7 @@ def decimal_table(ranks: dict[bytes, int]) -> TokenBytes:
     return TokenBytes({r: b"%d," % r for r in ranks.values()})
 
 
-def round_trip(docs: DataFrame, ranks_path: str, pattern: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, block_bytes: int = BLOCK_BYTES, stored: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: texts encoded, and the ids decoded again."""
     ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
     sha = lambda b: hashlib.sha256(b).hexdigest()
@@ -184,4 +209,4 @@ def round_trip(docs: DataFrame, ranks_path: str, pattern: str, block_bytes: int
             _memory.update(tables_of=ranks_path, digits=decimal_table(ranks.value), bytes=TokenBytes({r: t for t, r in ranks.value.items()}))
         return len(ids), sha(_memory["digits"].join(ids)[:-1]), sha(_memory["bytes"].join(ids))
 
-    return encode(docs, ranks_path, pattern, block_bytes, finish, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return encode(docs, ranks_path, pattern, block_bytes, finish, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", stored)

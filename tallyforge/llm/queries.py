@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, exact_dedup, packing, quality, secret_scan, sharding, simhash, suffix_dedup, toxicity
+from . import bpe, chat, exact_dedup, packing, quality, quality_sql, secret_scan, sharding, simhash, suffix_dedup, toxicity
 from .common import documents
 
 
@@ -23,7 +23,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return bpe.round_trip(documents(spark, sf_dir), tokenizer_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.round_trip(documents(spark, sf_dir), tokenizer_path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, stored=True)
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +82,7 @@ ORACLE_SQL: dict[str, str] = {
                CAST(0 AS BIGINT) AS n_calls, CAST(0 AS BIGINT) AS n_valid, CAST(0 AS BIGINT) AS n_answered, CAST(NULL AS BOOLEAN) AS linked
         FROM conversations
     """,
+    "op6_quality_rules": quality_sql.SQL,
     "op7_exact_dedup": """
         WITH t AS (
             SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256

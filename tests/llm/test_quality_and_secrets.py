@@ -8,6 +8,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tallyforge.llm import quality, secret_scan
+from tallyforge.llm.queries import ORACLE_SQL, QUERIES
+from tests.conftest import same_as_sql
 
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, n_words int, found int, kept string"
 
@@ -65,6 +67,10 @@ def test_quality(spark):
     assert not any(by[i].kept for i in (2000, 2001, 2002, 2003))
 
 
+def test_quality_sql(spark, duck, sf):
+    same_as_sql(QUERIES["op6_quality_rules"](spark, sf), duck, ORACLE_SQL["op6_quality_rules"])
+
+
 def test_fences_do_not_depend_on_partitions(spark, monkeypatch):
     df = frame(spark, rows())
     verdicts = lambda d: sorted((str(r.doc_id), r.n_words, r.kept, r.fence_level) for r in quality.quality(d).collect())
