@@ -13,7 +13,7 @@ order of a hash of doc_id; rows whose crc32(doc_id as text) mod 4 is HELD_OUT ar
 reads every window of every whole text, in parallel and without a shuffle; the model, whose size is
 fixed, goes to the workers.
 
-A null or empty text has one window without words.  Without labels of both kinds the score is the
+A text without words gets the mean logit of the clean documents fitted to.  Without labels of both kinds the score is the
 share of toxic labels.  Rows that repeat a doc_id are scored each; empty tables give empty results.
 """
 
@@ -44,6 +44,8 @@ TABLE_RATE = 0.02
 #: Of the G test of a word or n-gram.
 LEAST_G = 18.0
 PREDICTED = 0.3
+#: Documents whose n-grams are counted at a time.
+COUNTED = 200
 #: Texts are scored so many bytes at a time.
 SCORED_BYTES = 4 << 20
 _DROPPED = b".,;:!?\"()[]{}"
@@ -73,11 +75,14 @@ class Words:
         self.grams = np.bincount(owner, minlength=len(words))
         self.first = np.cumsum(self.grams) - self.grams
 
-    def summed(self, table: np.ndarray) -> np.ndarray:
+    def summed(self, table: np.ndarray, many: int = 50_000) -> np.ndarray:
         out = np.zeros((len(self.row), table.shape[1]), table.dtype)
-        if len(self.gram):
-            some = self.grams > 0
-            out[some] = np.add.reduceat(table[self.gram], self.first[some], axis=0) / np.sqrt(self.grams[some], dtype=table.dtype)[:, None]
+        for begin in range(0, len(self.row), many):  # some words at a time bound the memory
+            some = begin + np.flatnonzero(self.grams[begin : begin + many])
+            if len(some):
+                grams = self.gram[self.first[some[0]] : self.first[some[-1]] + self.grams[some[-1]]]
+                total = np.add.reduceat(table[grams], self.first[some] - self.first[some[0]], axis=0)
+                out[some] = total / np.sqrt(self.grams[some], dtype=table.dtype)[:, None]
         return out
 
 
@@ -130,6 +135,8 @@ class Network:
             self.p |= {f"w{way}": init(dim, 3 * HIDDEN), f"u{way}": init(HIDDEN, 3 * HIDDEN), f"b{way}": np.zeros(3 * HIDDEN, np.float32)}
         self.p |= {"wa": init(2 * HIDDEN, ATTENTION), "ba": np.zeros(ATTENTION, np.float32), "va": init(ATTENTION)}
         self.scale, self.shift = 1.0, 0.0
+        #: The logit of a text without words: the mean of the clean documents'.
+        self.none = 0.0
 
     def inputs(self, words: Words) -> np.ndarray:
         """One row for each word and one of zeros for no word."""
@@ -211,7 +218,8 @@ class Network:
         parts = [(k, part) for k, text in enumerate(texts) for part in split_long(text)]
         words, windows, of = read([part for _, part in parts])
         strongest = np.full(len(texts), -np.inf)
-        np.maximum.at(strongest, [k for k, _ in parts], _strongest(self.logits(words, windows), of, len(parts))[0])
+        found = np.where((windows >= 0).any(axis=1), self.logits(words, windows), self.none)
+        np.maximum.at(strongest, [k for k, _ in parts], _strongest(found, of, len(parts))[0])
         return _sigmoid(self.scale * strongest + self.shift)
 
     def logits(self, words: Words, windows: np.ndarray, many: int = 4096) -> np.ndarray:
@@ -226,12 +234,24 @@ def _strongest(values: np.ndarray, of: np.ndarray, texts: int) -> tuple[np.ndarr
     return values[order[last]], order[last]
 
 
-def _log_odds(rows: np.ndarray, of: np.ndarray, label: np.ndarray, size: int) -> np.ndarray:
+def _log_odds(words: Words, number: np.ndarray, of: np.ndarray, label: np.ndarray, grams: bool) -> np.ndarray:
     """Log odds of a table's rows by the documents that hold them; 0 unless a G test finds them toxic."""
-    pair = np.unique(of * size + rows)
-    toxic, n1 = label[pair // size] > 0, float(label.sum())
+    size, n1 = GRAM_ROWS if grams else WORD_ROWS, float(label.sum())
     n0 = len(label) - n1
-    k1, k0 = np.bincount(pair[toxic] % size, minlength=size).astype(float), np.bincount(pair[~toxic] % size, minlength=size).astype(float)
+    pair = np.unique(of * len(words.row) + number)
+    of, number = np.divmod(pair, max(1, len(words.row)))
+    held = np.zeros((2, size))
+    for begin in range(0, len(label), COUNTED):  # some documents at a time bound the memory
+        own = slice(*np.searchsorted(of, (begin, begin + COUNTED)))
+        doc, num = of[own], number[own]
+        if grams:
+            rows, doc = words.gram[ragged(words.first[num], words.grams[num])], np.repeat(doc, words.grams[num])
+        else:
+            rows = words.row[num]
+        doc, rows = np.divmod(np.unique(doc * size + rows), size)
+        for kind in (0, 1):
+            held[kind] += np.bincount(rows[label[doc] == kind], minlength=size)
+    k0, k1 = held
     share = (k1 + k0) / (n1 + n0)
     part = lambda k, e: k * np.log(np.maximum(k, 1e-9) / np.maximum(e, 1e-9))
     g = 2 * (part(k1, n1 * share) + part(k0, n0 * share) + part(n1 - k1, n1 * (1 - share)) + part(n0 - k0, n0 * (1 - share)))
@@ -239,18 +259,18 @@ def _log_odds(rows: np.ndarray, of: np.ndarray, label: np.ndarray, size: int) ->
     return np.where((g >= LEAST_G) & (odds > 0), np.clip(odds, 0, 6), 0).astype(np.float32)
 
 
-def fit(texts: list[bytes], label: np.ndarray, seed: int = 7) -> Network:
-    """A network fitted to documents and their labels (0, 1); both must occur."""
+def fit(texts: list[bytes], label: np.ndarray, odds: float | None = None, seed: int = 7) -> Network:
+    """A network fitted to documents and their labels (0, 1); both must occur.
+
+    ``odds``: of label 1 where the scores are to hold, if the documents were picked by label.
+    """
     label = label.astype(np.float32)
     rng, net = np.random.default_rng(seed), Network(seed)
-    texts, label = [*texts, b""], np.append(label, np.float32(0))  # no words, not toxic
     words, windows, of = read(texts)
     # Evidence: what stands in toxic documents far more than in clean ones.
     at, slot = np.nonzero(windows >= 0)
     number = windows[at, slot]
-    word_odds = _log_odds(words.row[number], of[at], label, WORD_ROWS)
-    gram_each = ragged(words.first[number], words.grams[number])
-    gram_odds = _log_odds(words.gram[gram_each], np.repeat(of[at], words.grams[number]), label, GRAM_ROWS)
+    word_odds, gram_odds = (_log_odds(words, number, of[at], label, grams) for grams in (False, True))
     strength = np.maximum(word_odds[words.row], words.summed(gram_odds[:, None])[:, 0])
     strength = np.append(strength, 0)
     net.p["word"][:, 0], net.p["gram"][:, 0] = word_odds / 3, gram_odds / 3
@@ -290,7 +310,10 @@ def fit(texts: list[bytes], label: np.ndarray, seed: int = 7) -> Network:
         if epoch + 1 == epochs or epoch * EPOCHS // epochs != (epoch + 1) * EPOCHS // epochs:
             value = net.logits(words, windows)
     strongest = _strongest(value, of, len(texts))[0].astype(np.float64)
+    net.none = float(strongest[label == 0].mean())
     net.scale, net.shift = _calibrated(strongest, label.astype(np.float64))
+    if odds is not None:
+        net.shift += float(np.log(odds * (len(label) - label.sum()) / label.sum()))
     return net
 
 
@@ -328,7 +351,8 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, most_bytes:
     label = np.array([r["_toxic"] for r in sample], np.int64)
     if not 0 < label.sum() < len(label):
         return float(label.mean()) if len(label) else 0.0
-    return fit([bytes(r["_text"] or b"") for r in sample], label)
+    seen = {r["_toxic"]: r["count"] for r in known.groupBy("_toxic").count().collect()}
+    return fit([bytes(r["_text"] or b"") for r in sample], label, seen[1] / seen[0])
 
 
 def score(docs: DataFrame, model: Network | float) -> DataFrame:
