@@ -20,6 +20,7 @@ from __future__ import annotations
 import heapq
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -33,9 +34,9 @@ from .common import bounded_batches
 
 CAPACITY = 4096
 END_ID = 2
-GROUP_TOKENS = 1 << 20
-#: Words and parts whose ids a worker remembers; beyond it the memory starts afresh.
-REMEMBERED = 600_000
+GROUP_TOKENS = 1 << 19
+#: Words whose ids a worker remembers in each of two generations.
+REMEMBERED = 400_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
 
@@ -63,19 +64,22 @@ class WordEncoder:
         letters = [chr(c) for c in (*range(97, 123), *range(0xDF, 0xF7), *range(0xF8, 0x100))]
         self.spelling = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters}
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {"": b""}
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return _cell(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def learn(self, word: bytes) -> bytes:
+        if (cell := self.older.get(word)) is not None:
+            return cell
         text = word.decode()
         plain = self.PLAIN.fullmatch(text)
         if plain is None:
             return self._whole(text)
         letters, marks = plain[1].lower(), plain[2]
         if (head := self.parts.get(letters)) is None:
-            head = self.parts[letters] = np.array([t.id for t in self.merge(letters.translate(self.spelling))], "<u4").tobytes()
+            head = self.parts[letters] = _cell([t.id for t in self.merge(letters.translate(self.spelling))])
         if (end := self.parts.get(marks)) is None:
             end = self.parts[marks] = self._whole(marks)
         return head + end
@@ -85,9 +89,9 @@ class WordEncoder:
         known = self.known
         cells = list(map(known.get, words))
         if None in cells:
-            if len(known) + len(self.parts) > REMEMBERED:
-                known.clear()
-                self.parts = {"": b""}
+            if len(known) > REMEMBERED:  # frequent words come back from the older generation
+                self.older, self.known, self.parts = known, {}, {"": b""}
+                known = self.known
             for w in words:
                 if w not in known:
                     known[w] = self.learn(w)
@@ -95,6 +99,10 @@ class WordEncoder:
         return b"".join(cells)
 
 
+def _cell(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def difference(sizes: np.ndarray, k: int) -> list[list[int]]:
     """Karmarkar-Karp: the items of k windows of near-equal sums."""
     n = len(sizes)
