@@ -38,6 +38,8 @@ NEAR = 4
 PIVOTS = 16
 #: Fingerprints expected to meet under one choice of parts, at most.
 MEETING = 64
+#: Row numbers of dropped documents that may be broadcast (8 bytes each).
+MOST_BROADCAST = 1_000_000
 #: Rows compared at a time, unless one meeting holds more.
 COMPARED = 200_000
 
@@ -194,4 +196,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     rows = fingerprints(docs, columns)
     rank = F.struct(F.col("_own_doc_id").isNull().alias("null"), F.col("_own_doc_id").alias("id"), "_row")
     winners = written(_grouped(rows.select("_own_doc_id", "fp", "_row"), rank).select(F.col("_first._row").alias("_row")).distinct(), "simhash-winners")
-    return rows.join(winners, "_row", "left_semi").select(*(F.col(f"_own_{c}").alias(c) for c in columns))
+    losers = written(rows.select("_row").join(winners, "_row", "left_anti"), "simhash-losers")
+    # Texts are not shuffled to drop some rows; only past the bound are both sides sorted and joined.
+    few = losers.count() <= MOST_BROADCAST
+    left = rows.join(F.broadcast(losers) if few else losers.hint("merge"), "_row", "left_anti")
+    return left.select(*(F.col(f"_own_{c}").alias(c) for c in columns))
