@@ -1,10 +1,14 @@
-"""The manifest (JSON) and the report (HTML) of a count, rendered on the driver from small aggregates."""
+"""The manifest (JSON) and the report (HTML) of a count, rendered on the driver from small aggregates.
+
+The manifest has the whole tally, the report's table its first TABLE_ROWS names.
+"""
 
 from __future__ import annotations
 
 import base64
 import html
 import os
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,7 +44,7 @@ def party_counts(by_party: dict[str, int]) -> str:
 
 
 def collect(count: Count, official: DataFrame, expected_boxes: DataFrame | None = None, files: DataFrame | None = None) -> dict:
-    """What manifest and report show: tens of rows, collected."""
+    """What manifest and report show: tens of rows, collected; ``names`` is the frame of the whole tally."""
     cfg, images, results, review = count.cfg, count.table("images"), count.table("results"), count.table("review")
     scoped = count.scoped()
     tallied = S.tally(scoped)
@@ -49,10 +53,14 @@ def collect(count: Count, official: DataFrame, expected_boxes: DataFrame | None
         pictures.setdefault(r["name"], []).append({k: r[k] for k in ("box", "seq", "party", "text", "crop_path")})
     coverage = S.coverage(expected_boxes, images, "box").first().asDict() if expected_boxes is not None else {"on_disk": None, "ingested": images.select("box").distinct().count(), "missing": None}
     shown = S.ranked(tallied)
+    # Pictures can be of names beyond the table's rows: their totals come from the whole tally.
+    totals = {r["name"]: r["total"] for r in tallied.filter(F.col("name").isin(*pictures)).collect()} if pictures else {}
     return {
         "status": {r["status"]: r["n"] for r in S.counts_by(images, "status").collect()},
         "summary": S.summary(images, results, review, cfg).first().asDict(),
         "tally": [r.asDict() for r in shown.filter(F.col("rank") <= S.TABLE_ROWS).orderBy("rank").collect()],
+        "names": tallied,
+        "totals": totals,
         "tail": S.tail(tallied).first().asDict(),
         "note": [f"{r['name'].title()} {r['total']}" for r in S.top_names(tallied, cfg.target.term).collect()],
         "gallery": pictures,
@@ -61,12 +69,22 @@ def collect(count: Count, official: DataFrame, expected_boxes: DataFrame | None
     }
 
 
-def manifest(found: dict) -> str:
+def manifest_parts(found: dict) -> Iterator[str]:
+    """The manifest in pieces; the tally comes to the driver one partition at a time."""
     validation = {"coverage": found["coverage"], "contests": found["checks"]}
-    tally = [{"name": t["name"], "total": t["total"], "by_party": t["by_party"]} for t in found["tally"]]
+    tally = ({"name": t["name"], "total": t["total"], "by_party": t["by_party"]} for t in found["names"].toLocalIterator())
     return manifest_document(found["summary"], validation, found["note"], tally, found["gallery"])
 
 
+def manifest(found: dict) -> str:
+    return "".join(manifest_parts(found))
+
+
+def write_manifest(found: dict, path: str) -> None:
+    with open(path, "w", encoding="utf-8") as f:
+        f.writelines(manifest_parts(found))
+
+
 def _figure(item: dict) -> str:
     """A crop with its caption; nothing if the file is gone."""
     if not os.path.exists(item["crop_path"]):
@@ -100,8 +118,7 @@ def render(found: dict, title: str) -> str:
     bar = lambda n, of: f'<div class="bar" style="width:{_width(n, of)}%"></div>'
     funnel = "".join(f"<tr><td>{_text(k)}</td><td>{n:,}</td><td style='width:20rem'>{bar(n, total)}</td></tr>" for k, n in sorted(found["status"].items(), key=lambda x: (-x[1], str(x[0]))))
     rows = "".join(f"<tr><td>{t['rank']}</td><td>{_text(t['name'].title())}</td><td>{t['total']:,}</td><td>{_text(party_counts(t['by_party']))}</td><td style='width:20rem'>{bar(t['total'], most)}</td></tr>" for t in found["tally"])
-    totals = {t["name"]: t["total"] for t in found["tally"]}
-    pictures = "".join(f"<h3>{_text(n.title())}: {totals.get(n, len(items)):,}</h3>{''.join(map(_figure, items))}" for n, items in found["gallery"].items())
+    pictures = "".join(f"<h3>{_text(n.title())}: {found['totals'].get(n, len(items)):,}</h3>{''.join(map(_figure, items))}" for n, items in found["gallery"].items())
     return PAGE.format(
         title=_text(title), funnel=funnel, split=_split(found["summary"]), note=_text(", ".join(found["note"])), rows=rows,
         tail=f"{found['tail']['names']:,} further names, {found['tail']['votes']:,} votes", gallery=pictures,

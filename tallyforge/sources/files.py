@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,5 +44,11 @@ def write_crops(crops: DataFrame) -> None:
     crops.select("crop_path", "content").foreachPartition(save)
 
 
-def manifest_document(summary: dict, validation: dict, top_names: list[str], tally: list[dict], gallery: dict[str, list[dict]]) -> str:
-    return json.dumps({"summary": summary, "validation": validation, "top_folded": ", ".join(top_names), "candidate_tally": tally, "gallery": gallery}, indent=1, ensure_ascii=False)
+def manifest_document(summary: dict, validation: dict, top_names: list[str], tally: Iterable[dict], gallery: dict[str, list[dict]]) -> Iterator[str]:
+    """The document in pieces, the tally name by name: it has a row for each name and is not held whole."""
+    text = lambda value: json.dumps(value, indent=1, ensure_ascii=False)
+    head = {"summary": summary, "validation": validation, "top_folded": ", ".join(top_names)}
+    yield "{\n" + "".join(f"{text(k)}: {text(v)},\n" for k, v in head.items()) + '"candidate_tally": ['
+    for i, row in enumerate(tally):
+        yield (",\n" if i else "\n") + json.dumps(row, ensure_ascii=False)
+    yield f'\n],\n"gallery": {text(gallery)}\n}}\n'

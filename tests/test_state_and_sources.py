@@ -168,6 +168,26 @@ def test_run_end_to_end(spark, tmp_path):
     assert spark.read.option("header", True).csv(str(tmp_path / "out/results.csv")).count() == count.table("results").count()
 
 
+def test_manifest_has_the_whole_tally(spark, tmp_path):
+    # 45 names with 60 to 16 votes, and the target below them all with 12.
+    votes = {f"name {i:02d}": 60 - i for i in range(45)} | {"pencil": 12}
+    reads = [(f"/r/{n}/{i}", n, "Democratic" if i % 2 else "Republican") for n, k in votes.items() for i in range(k)]
+    given = spark.createDataFrame(reads, "path string, candidate string, party string")
+    count = Count(spark, str(tmp_path / "state"), CFG)
+    count.save(
+        images=given.select("path", F.lit("AB-1").alias("box"), F.lit("1").alias("seq"), F.lit("done").alias("status"), "party"),
+        results=given.select("path", "candidate", F.col("candidate").alias("match"), F.lit("/gone.png").alias("crop_path"), F.lit(0.5).alias("vision_conf")),
+    )
+    found = report.collect(count, files.official_totals(spark, None))
+    report.write_manifest(found, str(tmp_path / "manifest.json"))
+    written = json.loads((tmp_path / "manifest.json").read_text())
+    assert written == json.loads(report.manifest(found)) and list(written) == ["summary", "validation", "top_folded", "candidate_tally", "gallery"]
+    assert [(t["name"], t["total"]) for t in written["candidate_tally"]] == list(votes.items())
+    assert written["candidate_tally"][-1]["by_party"] == {"Democratic": 6, "Republican": 6}
+    page = report.render(found, "t")
+    assert "<h3>Pencil: 12</h3>" in page and page.count("<td>Name ") == 40 and "6 further names" in page
+
+
 def test_conformed_adds_columns(spark):
     old = spark.createDataFrame([("a",)], "path string")
     assert S.conformed(old, S.RESULTS).first()["quarantined"] is None
