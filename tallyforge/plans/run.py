@@ -7,12 +7,15 @@ on from the last one that was written whole, and repeating a phase with nothing
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..config import Config
 from ..operators import stages, state, summary
+from ..sources.files import write_crops
+from ..sources.images import cut
 from ..sources.providers import parse_reply
 from ..sources.scan import manifest
 from ..telemetry import Recorder
@@ -81,18 +84,39 @@ class Count:
             classified = state.select_status(self.table("images"), S.CLASSIFIED)
             self.save(regions=regions, images=self._moved(stages.located(classified, regions)))
 
-    def mark(self, scores: DataFrame, crop_folder: str, box: str | None = None) -> None:
-        """scores: path, oval_fill_score, line_ink_score, err of located images."""
+    def _crops(self, decided: DataFrame, pixels: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """path, crop_path, content of the marked rows; path, status, err of those that cannot be cropped."""
+        marked = decided.filter("has_mark = 1").select("path", "crop_path").join(self.table("images").select("path", "layout"), "path")
+        marked = marked.join(self.table("regions").select("layout", "x0", "y0", "x1", "y1"), "layout")
+        crops = cut(pixels.join(marked, "path")).persist(StorageLevel.DISK_ONLY)
+        lost = decided.filter("has_mark = 1").join(crops.select("path"), "path", "left_anti").select("path", F.lit("mark: no image to crop").alias("err"))
+        failed = crops.filter("err IS NOT NULL").select("path", "err").unionByName(lost)
+        return crops, failed.select("path", F.lit(S.ERROR).alias("status"), "err")
+
+    def mark(self, scores: DataFrame, crop_folder: str, box: str | None = None, pixels: DataFrame | None = None) -> None:
+        """scores: path, oval_fill_score, line_ink_score, err of located images; pixels: those images (``images.load``).
+
+        The crops of marked images are written before their status is; a marked image that cannot be
+        cropped is an error.  Without pixels (scores from a table) only the crops' paths are kept.
+        """
         with self.recorder.stage("mark"):
             here = scores.join(state.select_status(self.table("images"), S.LOCATED, box).select("path"), "path", "left_semi")
             good = here.filter("err IS NULL").select("path", "oval_fill_score", "line_ink_score")
             bad = here.filter("err IS NOT NULL").select("path", F.lit(S.ERROR).alias("status"), "err")
             self.save(results=state.upsert(self.table("results"), good, "path"), images=state.update(self._moved(good.select("path", F.lit(S.SCORED).alias("status"))), bad, "path"))
             decided = stages.decide(self.table("images"), self.table("results"), self.table("regions"), self.cfg, crop_folder, box)
+            crops = failed = None
+            if pixels is not None:
+                crops, failed = self._crops(decided, pixels)
+                write_crops(crops.filter("err IS NULL"))
+                decided = decided.join(failed.select("path"), "path", "left_anti")
             results = state.update(self.table("results"), decided.select("path", "has_mark", "crop_path"), "path")
             fresh = decided.filter("unvalidated").select("path", F.lit("unvalidated_region").alias("reason"), "crop_path")
             review = state.delete(self.table("review"), fresh, "path").unionByName(S.conformed(fresh, S.REVIEW))
-            self.save(images=self._moved(decided.select("path", "status")), results=results, review=review)
+            moved = self._moved(decided.select("path", "status"))
+            self.save(images=moved if failed is None else state.update(moved, failed, "path"), results=results, review=review)
+            if crops is not None:
+                crops.unpersist()
 
     def read(self, replies: DataFrame, model: str | None = None) -> None:
         """replies: path, reply, err of marked images."""

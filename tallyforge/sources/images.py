@@ -18,9 +18,11 @@ from ..functions import raster
 
 
 def load(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """path, width, height, channels, data of the images that decode."""
+    """path (as listed files have it), width, height, channels, data of the images that decode."""
     images = spark.read.format("image").option("dropInvalid", True).load(path)
-    return images.select(F.col("image.origin").alias("path"), F.col("image.width").alias("width"), F.col("image.height").alias("height"), F.col("image.nChannels").alias("channels"), F.col("image.data").alias("data"))
+    # The origin is an encoded URI (file:///a%20b for file:/a b); decoding would take a plus for a space.
+    origin = F.url_decode(F.replace(F.col("image.origin"), F.lit("+"), F.lit("%2B")))
+    return images.select(F.regexp_replace(origin, "^file:///", "file:/").alias("path"), F.col("image.width").alias("width"), F.col("image.height").alias("height"), F.col("image.nChannels").alias("channels"), F.col("image.data").alias("data"))
 
 
 def gray(data: bytes, width: int, height: int, channels: int) -> np.ndarray:
@@ -56,6 +58,25 @@ def score_ink(images: DataFrame, cfg: Config) -> DataFrame:
     return images.mapInPandas(run, "path string, oval_fill_score double, line_ink_score double, err string")
 
 
+def cut(images: DataFrame) -> DataFrame:
+    """images with crop_path and their layout's region (x0..y1 in fractions) -> path, crop_path, content (PNG), err."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            out = []
+            for row in frame.to_dict("records"):
+                try:
+                    size = row["width"], row["height"]
+                    image = gray(row["data"], *size, row["channels"])
+                    content = raster.png(raster.crop(image, raster.to_pixels(_box(row, ("x0", "y0", "x1", "y1")), *size)))
+                    out.append((row["path"], row["crop_path"], content, None))
+                except Exception as e:  # noqa: BLE001  one bad image is a value, not a failed job
+                    out.append((row["path"], row["crop_path"], None, f"mark: {e}"))
+            yield pd.DataFrame(out, columns=["path", "crop_path", "content", "err"])
+
+    return images.mapInPandas(run, "path string, crop_path string, content binary, err string")
+
+
 REGION = "x0 double, y0 double, x1 double, y1 double, ox0 double, oy0 double, ox1 double, oy1 double"
 
 

@@ -188,6 +188,43 @@ def test_manifest_has_the_whole_tally(spark, tmp_path):
     assert "<h3>Pencil: 12</h3>" in page and page.count("<td>Name ") == 40 and "6 further names" in page
 
 
+def test_marking_writes_crops(spark, tmp_path):
+    # Two pages with ink, one without, and one with ink whose file is gone; the region reaches past the lower edge.
+    folder = tmp_path / "scans" / "AB-1"
+    folder.mkdir(parents=True)
+    blank = np.full((40, 50), 255, np.uint8)
+    inked = blank.copy()
+    inked[20:30, 10:30] = np.arange(200, dtype=np.uint8).reshape(10, 20)
+    for seq, pixels in (("001", inked), ("002", blank), ("00 3", inked)):
+        (folder / f"AB-1+{seq}.jpg").write_bytes(png(pixels))
+    loaded = images.load(spark, str(folder))
+    listed = scan.list_files(spark, str(tmp_path / "scans"), CFG)
+    assert rows(loaded.select("path")) == rows(listed)
+    table = listed.union(spark.createDataFrame([("file:/gone/AB-1+004.jpg",)], "path string")).withColumn("seq", F.regexp_extract("path", r"\+(.*)\.jpg", 1))
+    region = {"x0": 0.1, "y0": 0.25, "x1": 0.7, "y1": 1.1}
+    count = Count(spark, str(tmp_path / "state"), CFG)
+    count.save(
+        images=table.select("path", "seq", F.lit("AB-1").alias("box"), F.lit("located").alias("status"), F.lit("L").alias("layout")),
+        regions=spark.range(1).select(F.lit("L").alias("layout"), F.lit(1).alias("valid"), *(F.lit(v).alias(k) for k, v in region.items())),
+    )
+    scores = table.select("path", F.when(F.col("seq") == "002", 0.0).otherwise(0.9).alias("oval_fill_score"), F.lit(0.0).alias("line_ink_score"), F.lit(None).cast("string").alias("err"))
+    crops = tmp_path / "crops"
+    count.mark(scores, str(crops), pixels=loaded)
+    assert sorted(p.name for p in crops.iterdir()) == ["AB-1_00 3.png", "AB-1_001.png"]
+    back = images.load(spark, str(crops)).collect()
+    want = np.zeros((34, 30), np.uint8)
+    want[:30] = inked[10:40, 5:35]
+    assert len(back) == 2 and all((images.gray(r["data"], r["width"], r["height"], r["channels"]) == want).all() for r in back)
+    after = {r["seq"]: (r["status"], r["err"]) for r in count.table("images").collect()}
+    assert after == {"001": ("marked", None), "002": ("skip_blank", None), "00 3": ("marked", None), "004": ("error", "mark: no image to crop")}
+    assert {r["crop_path"] for r in count.table("results").filter("has_mark = 1").collect()} == {str(p) for p in crops.iterdir()}
+
+
+def test_a_bad_crop_is_an_error(spark):
+    given = spark.createDataFrame([("a", "a.png", b"x", 9, 9, 1, 0.0, 0.0, 1.0, 1.0), ("b", "b.png", b"x", 1, 1, 1, 1.0, 0.0, 0.0, 1.0)], "path string, crop_path string, data binary, width int, height int, channels int, x0 double, y0 double, x1 double, y1 double")
+    assert all(r["content"] is None and r["err"].startswith("mark: ") for r in images.cut(given).collect())
+
+
 def test_conformed_adds_columns(spark):
     old = spark.createDataFrame([("a",)], "path string")
     assert S.conformed(old, S.RESULTS).first()["quarantined"] is None
