@@ -44,7 +44,10 @@ def party_counts(by_party: dict[str, int]) -> str:
 
 
 def collect(count: Count, official: DataFrame, expected_boxes: DataFrame | None = None, files: DataFrame | None = None) -> dict:
-    """What manifest and report show: tens of rows, collected; ``names`` is the frame of the whole tally."""
+    """What manifest and report show: tens of rows, collected; ``names`` is the frame of the whole tally.
+
+    expected_boxes: the box folders on disk (``scan.list_boxes``).
+    """
     cfg, images, results, review = count.cfg, count.table("images"), count.table("results"), count.table("review")
     scoped = count.scoped()
     tallied = S.tally(scoped)

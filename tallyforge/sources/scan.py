@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,5 +50,20 @@ def list_files(spark: SparkSession, root: str, cfg: Config) -> DataFrame:
     return files.select("path")
 
 
+def list_boxes(spark: SparkSession, root: str, cfg: Config) -> DataFrame | None:
+    """box of each box folder, also of those without a finished scan yet; None if the root cannot be read.
+
+    This is what coverage compares with: a box that is still being copied is missing, not unknown.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    try:
+        entries = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    except Py4JJavaError:
+        return None
+    names = [e.getPath().getName() for e in entries if e.isDirectory()]
+    return spark.createDataFrame([(n,) for n in names if n.startswith(cfg.filename.box_prefix)], "box string")
+
+
 def boxes_on_disk(paths: DataFrame) -> DataFrame:
+    """box of the listed files; boxes without a finished scan are not among them (see ``list_boxes``)."""
     return paths.select(F.element_at(F.split("path", "/"), -2).alias("box")).distinct()

@@ -133,6 +133,19 @@ def test_scan_and_watch(spark, tmp_path):
     assert sorted(r["seq"] for r in spark.read.parquet(table).collect()) == ["001", "003"]
 
 
+def test_coverage_counts_box_folders(spark, tmp_path):
+    for name in ("AB-1/AB-1+001.jpg", "AB-2/AB-2+001.jpg.part", "CD-1/AB-1+5.jpg"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(b"x")
+    (tmp_path / "AB-3").mkdir()
+    (tmp_path / "AB-4.txt").write_bytes(b"x")
+    boxes = scan.list_boxes(spark, str(tmp_path), CFG)
+    ingested = scan.manifest(scan.list_files(spark, str(tmp_path), CFG), CFG)
+    assert rows(summary.missing(boxes, ingested, "box")) == [("AB-2",), ("AB-3",)]
+    assert tuple(summary.coverage(boxes, ingested, "box").first()) == (3, 1, 2)
+    assert scan.list_boxes(spark, str(tmp_path / "none"), CFG) is None
+
+
 def test_run_end_to_end(spark, tmp_path):
     count = Count(spark, str(tmp_path / "state"), CFG)
     names = [f"/r/AB-{b}/AB-{b}+{i:03d}.jpg" for b in (1, 2) for i in range(12)]
