@@ -3,8 +3,9 @@
 ``find`` scans whole texts for the base kinds (assign, access, hex) and for further candidates: keys
 with a provider's prefix, private-key headers and mixed tokens of high entropy.  ``ownership`` counts,
 for each candidate's hash, the distinct repositories and owners that hold it.  A value held by at most
-OWNERS owners is taken for a live credential; one held by more is a widely copied example.  Base spans
-are always reported; further candidates only where they look live.
+OWNERS owners in at most REPOSITORIES repositories is taken for a live credential; one held by more of
+either is a widely copied example.  Base spans are always reported, with both counts; further
+candidates only where they look live.
 
 Skew: (hash, owner) and (hash, repository) are made distinct before counting, so a copied example
 costs a row for each task and owner, and candidates are joined with the counts under a salt.
@@ -40,10 +41,12 @@ PEM = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----")
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{24,}")
 LEAST_ENTROPY = 3.5  # bits a character
 OWNERS = 2
+REPOSITORIES = 3  # an owner's own key may stand in a few of its repositories
 SALTS = 16
 _HINTS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 _PROVIDERS = ("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xox", "sk_live_", "AIza", "eyJ")
 _FOUND = "array<struct<kind:int,start:int,end:int,hash:long>>"
+_SPANS = "array<struct<start:int,kind:int,end:int,live:boolean,n_repositories:bigint,n_owners:bigint>>"
 
 
 def _mixed(value: str) -> bool:
@@ -100,13 +103,13 @@ def ownership(found: DataFrame) -> DataFrame:
     return each.groupBy("hash").agg(F.countDistinct("repository").alias("n_repositories"), F.countDistinct("owner").alias("n_owners"))
 
 
-def classified(found: DataFrame, owners: int = OWNERS) -> DataFrame:
-    """_row, spans (kind, start, end, live) of the rows with any, in order."""
+def classified(found: DataFrame, owners: int = OWNERS, repositories: int = REPOSITORIES) -> DataFrame:
+    """_row, spans (kind, start, end, live, n_repositories, n_owners) of the rows with any, in order."""
     counts = ownership(found).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     each = found.select("_row", F.explode("found").alias("s")).select("_row", "s.*", F.pmod(F.xxhash64("_row", "s.start"), F.lit(SALTS)).cast("int").alias("_salt"))
-    live = F.col("n_owners") <= owners
+    live = (F.col("n_owners") <= owners) & (F.col("n_repositories") <= repositories)
     each = each.join(counts, ["hash", "_salt"]).filter((F.col("kind") < len(BASE)) | live)
-    return each.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", live.alias("live")))).alias("spans"))
+    return each.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", live.alias("live"), "n_repositories", "n_owners"))).alias("spans"))
 
 
 def _name(kind: Column) -> Column:
@@ -118,10 +121,13 @@ def _joined(spans: Column) -> Column:
 
 
 def report(docs: DataFrame, repository: Column | None = None, owner: Column | None = None) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example; one row per document."""
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_example, repositories, owners; one row per document.
+
+    repositories and owners: how many hold each span's value, in the order of the spans.
+    """
     repository, owner = _parties(repository, owner)
     found = candidates(docs, repository, owner, ["doc_id"])
-    all_spans = F.coalesce("spans", F.expr("cast(array() as array<struct<start:int,kind:int,end:int,live:boolean>>)"))
+    all_spans = F.coalesce("spans", F.expr(f"cast(array() as {_SPANS})"))
     rows = found.select("_row", "_own_doc_id").join(classified(found), "_row", "left").select(F.col("_own_doc_id").alias("doc_id"), all_spans.alias("spans"))
     base = F.filter("spans", lambda s: s["kind"] < len(BASE))
     count = lambda test: F.size(F.filter("spans", test)).cast("long")
@@ -133,6 +139,7 @@ def report(docs: DataFrame, repository: Column | None = None, owner: Column | No
         _joined(F.col("spans")).alias("spans"),
         count(lambda s: s["live"]).alias("n_live"),
         count(lambda s: ~s["live"]).alias("n_example"),
+        *(F.array_join(F.transform("spans", lambda s: s[f"n_{c}"].cast("string")), ",").alias(c) for c in ("repositories", "owners")),
     )
 
 

@@ -153,6 +153,20 @@ def test_ownership_parts_live_from_copied(spark):
     assert all((r.n_assign, r.n_live, r.n_example) == (1, 0, 1) for r in flagged)
 
 
+def test_repositories_part_live_from_copied(spark):
+    spread = "qQ1wW2eE3rR4tT5yY6uU7iI8"
+    few = [(i, f"token = {TOKEN}", lang, "s1") for i, lang in enumerate(["en", "de", "fr", "fr"])]
+    many = [(10 + i, f"token = {spread}", lang, "s1") for i, lang in enumerate(["en", "de", "fr", None])]
+    further = [(20 + i, f"see {spread[::-1]}", lang, "s2") for i, lang in enumerate(["en", "de", "fr", "es"])]
+    docs = frame(spark, few + many + further + [(30, "nothing", "en", "s1")])
+    got = {r.doc_id: r for r in secret_scan.report(docs).collect()}
+    assert all((got[i].n_live, got[i].n_example, got[i].repositories, got[i].owners) == (1, 0, "3", "1") for i in range(4))
+    assert all((got[i].n_live, got[i].n_example, got[i].repositories, got[i].owners) == (0, 1, "4", "1") for i in range(10, 14))
+    assert all(got[i].spans == "" for i in range(20, 24)) and (got[30].repositories, got[30].owners) == ("", "")
+    clean = {r.doc_id: r.text for r in secret_scan.redact(docs).collect()}
+    assert clean[0] == "<SECRET>" and clean[10] == "<EXAMPLE>" and clean[20] == f"see {spread[::-1]}"
+
+
 def test_redact(spark):
     rows = [(1, f"é {TOKEN} x", "en", "a"), (2, "nothing", "en", "a"), (3, None, None, None), (4, 'password="hunter22" ' + "0" * 30, "en", "a"), (4, "nothing", "en", "a")]
     df = frame(spark, rows)
