@@ -5,7 +5,7 @@ Messages are (conv_id, turn, role, text).  An assistant's text may hold calls,
 ``tool`` is a result, ``{"tool_call_id": .., "content": ..}``.
 
 1. ``parsed``   splits texts into content, calls and result (Python, map side, no shuffle).
-2. ``linked``   hash-joins calls and results by (conv_id, call id).  Of calls that repeat an id the
+2. ``linked``   hash-joins calls and results by (conversation, call id).  Of calls that repeat an id the
                 earliest turn counts, and of results likewise; the others are marked duplicates.
 3. ``depths``   orders calls topologically by their ``after`` lists: round by round, a call whose
                 predecessors all have a depth gets the next one.  Calls on a cycle, or behind an id that
@@ -14,8 +14,8 @@ Messages are (conv_id, turn, role, text).  An assistant's text may hold calls,
                 JSON (keys sorted, no spaces, text as is).  (place, rank, turn) order a conversation: a
                 result never stands before its call, nor a call before those that it names.
 
-A null text is content null, a null role "user".  Text that does not parse as a call stays content.
-Rows that repeat a message are formatted each.  Empty tables give empty results.
+Messages with a null conv_id are one conversation.  A null text is content null, a null role "user".
+Text that does not parse as a call stays content.  Rows that repeat a message are formatted each.  Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -120,40 +120,45 @@ def parsed(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     return written(rows.withColumn("_row", F.monotonically_increasing_id()), "chat-messages")
 
 
+def _conv() -> Column:
+    """The key of a conversation in joins: "" for null, which would match nothing; no number casts to it."""
+    return F.coalesce(F.col("conv_id").cast("string"), F.lit("")).alias("conv")
+
+
 def _call_rows(rows: DataFrame) -> DataFrame:
-    return rows.filter(F.size("calls") > 0).select("conv_id", "turn", "_row", F.posexplode("calls").alias("_at", "c")).select("conv_id", "turn", "_row", "_at", "c.*")
+    return rows.filter(F.size("calls") > 0).select(_conv(), "turn", "_row", F.posexplode("calls").alias("_at", "c")).select("conv", "turn", "_row", "_at", "c.*")
 
 
 def linked(rows: DataFrame) -> DataFrame:
-    """conv_id, id, call and result rows of each call id that was called or answered."""
+    """conv, id, call and result rows of each call id that was called or answered."""
     first = lambda: F.min(F.struct("turn", "_row"))
-    calls = _call_rows(rows).groupBy("conv_id", "id").agg(first().alias("call"))
-    results = rows.filter("answers is not null").groupBy("conv_id", F.col("answers").alias("id")).agg(first().alias("result"))
-    return calls.join(results, ["conv_id", "id"], "full")
+    calls = _call_rows(rows).groupBy("conv", "id").agg(first().alias("call"))
+    results = rows.filter("answers is not null").groupBy(_conv(), F.col("answers").alias("id")).agg(first().alias("result"))
+    return calls.join(results, ["conv", "id"], "full")
 
 
 def depths(rows: DataFrame) -> DataFrame:
-    """conv_id, id, depth, place of the calls of conversations with ``after`` lists.
+    """conv, id, depth, place of the calls of conversations with ``after`` lists.
 
     place: the latest turn of the call and all that it waits for.  Both are null on and behind cycles and unknown ids.
     """
     calls = _call_rows(rows)
-    nodes = calls.groupBy("conv_id", "id").agg(F.min("turn").alias("turn"), F.array_distinct(F.flatten(F.collect_list("after"))).alias("after"))
-    some = nodes.filter(F.size("after") > 0).select("conv_id").distinct()
-    nodes = written(nodes.join(some, "conv_id", "left_semi"), "chat-calls")
-    edges = written(nodes.select("conv_id", "id", "turn", F.explode("after").alias("before")), "chat-edges")
-    done = written(nodes.filter(F.size("after") == 0).select("conv_id", "id", F.lit(0).alias("depth"), F.col("turn").alias("place")), "chat-depths")
+    nodes = calls.groupBy("conv", "id").agg(F.min("turn").alias("turn"), F.array_distinct(F.flatten(F.collect_list("after"))).alias("after"))
+    some = nodes.filter(F.size("after") > 0).select("conv").distinct()
+    nodes = written(nodes.join(some, "conv", "left_semi"), "chat-calls")
+    edges = written(nodes.select("conv", "id", "turn", F.explode("after").alias("before")), "chat-edges")
+    done = written(nodes.filter(F.size("after") == 0).select("conv", "id", F.lit(0).alias("depth"), F.col("turn").alias("place")), "chat-depths")
     depth = 0
     while edges.limit(1).count():
         depth += 1
-        known = edges.join(done.select("conv_id", F.col("id").alias("before"), F.col("place").alias("_before"), F.lit(True).alias("_known")), ["conv_id", "before"], "left")
-        ready = known.groupBy("conv_id", "id").agg(F.bool_and(F.coalesce("_known", F.lit(False))).alias("_ready"), F.greatest(F.max("turn"), F.max("_before")).alias("place"))
-        ready = written(ready.filter("_ready").select("conv_id", "id", F.lit(depth).alias("depth"), "place"), "chat-ready")
+        known = edges.join(done.select("conv", F.col("id").alias("before"), F.col("place").alias("_before"), F.lit(True).alias("_known")), ["conv", "before"], "left")
+        ready = known.groupBy("conv", "id").agg(F.bool_and(F.coalesce("_known", F.lit(False))).alias("_ready"), F.greatest(F.max("turn"), F.max("_before")).alias("place"))
+        ready = written(ready.filter("_ready").select("conv", "id", F.lit(depth).alias("depth"), "place"), "chat-ready")
         if not ready.limit(1).count():
             break
         done = written(done.union(ready), "chat-depths")
-        edges = written(edges.join(ready, ["conv_id", "id"], "left_anti"), "chat-edges")
-    return nodes.select("conv_id", "id").join(done, ["conv_id", "id"], "left")
+        edges = written(edges.join(ready, ["conv", "id"], "left_anti"), "chat-edges")
+    return nodes.select("conv", "id").join(done, ["conv", "id"], "left")
 
 
 def _json(value: str) -> Column:
@@ -165,11 +170,11 @@ def formatted(messages: DataFrame, schemas: dict[str, dict] | None = None) -> Da
     """conv_id, turn, role, place, rank, message, n_calls, n_valid, n_answered, linked; one row per message."""
     rows = parsed(messages, schemas or {})
     links = written(linked(rows), "chat-links")
-    order = depths(rows).select("conv_id", "id", F.col("depth").alias("_depth"), F.col("place").alias("_place"), F.lit(True).alias("_ordered"))
+    order = depths(rows).select("conv", "id", F.col("depth").alias("_depth"), F.col("place").alias("_place"), F.lit(True).alias("_ordered"))
     calls = (
         _call_rows(rows)
-        .join(links, ["conv_id", "id"])
-        .join(order, ["conv_id", "id"], "left")
+        .join(links, ["conv", "id"])
+        .join(order, ["conv", "id"], "left")
     )
     # What a message's calls come to: one row for each message with calls.
     told = calls.groupBy("_row").agg(
@@ -177,7 +182,7 @@ def formatted(messages: DataFrame, schemas: dict[str, dict] | None = None) -> Da
     )
     # A call stands no earlier than the calls that it waits for, a result no earlier than its call.
     waits = calls.groupBy("_row").agg(F.max("_place").alias("_after"), F.max("_depth").alias("_rank"))
-    own = rows.filter("answers is not null").select("_row", "conv_id", F.col("answers").alias("id")).join(links, ["conv_id", "id"], "left").join(order, ["conv_id", "id"], "left")
+    own = rows.filter("answers is not null").select("_row", _conv(), F.col("answers").alias("id")).join(links, ["conv", "id"], "left").join(order, ["conv", "id"], "left")
     own = own.select(
         "_row", F.greatest("call.turn", "_place").alias("_call_place"), F.coalesce("_depth", F.lit(0)).alias("_call_depth"),
         (F.col("call").isNotNull() & (F.col("result._row") == F.col("_row"))).alias("_linked"),

@@ -160,6 +160,19 @@ def test_tool_calls(spark):
     assert chat.formatted(df.limit(0), SCHEMAS).count() == 0
 
 
+def test_calls_without_a_conversation(spark):
+    rows = [
+        (None, 0, "tool", result("b", "early")), (None, 1, "assistant", call("a", x=1) + call("b", "any", after=["a"])), (None, 2, "tool", result("a", "r")),
+        (None, None, "assistant", call("c", "any", after=["c"])), (0, 0, "assistant", call("a", "any")), (0, 1, "tool", result("b", "of no call here")),
+    ]
+    got = {(r.conv_id, r.turn): r for r in chat.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3), SCHEMAS).collect()}
+    calls = lambda *k: [(c["id"], c["status"], c["depth"]) for c in json.loads(got[k].message)["tool_calls"]]
+    assert len(got) == len(rows)
+    assert calls(None, 1) == [("a", "answered", 0), ("b", "answered", 1)] and calls(None, None) == [("c", "cycle", 0)]
+    assert got[None, 0].linked and got[None, 2].linked and (got[None, 0].place, got[None, 0].rank) == (1, 3)
+    assert calls(0, 0) == [("a", "open", 0)] and got[0, 1].linked is False  # the null conversation is not conversation 0
+
+
 def test_long_chains_are_ordered(spark):
     rows = [(1, i, "assistant", call(f"n{i}", "any", after=[f"n{i + 1}"] if i < 6 else [])) for i in range(7)]
     got = chat.formatted(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), SCHEMAS).collect()
