@@ -4,7 +4,8 @@ Cutting lineage
 ---------------
 ``written`` stores a frame as Parquet under the folder that the cluster names in
 ``spark.checkpoint.dir`` and reads it back.  The files survive a lost executor, and whatever row
-numbers or block numbers the frame carries are fixed from then on.
+numbers or block numbers the frame carries are fixed from then on.  Loops ``discard`` the tables of
+earlier rounds; ``clean`` deletes the rest once no result is read any more.
 """
 
 from __future__ import annotations
@@ -20,6 +21,9 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 #: Bytes of one Arrow batch handed to a Python worker; bounds a worker's memory whatever the row size.
 BATCH_BYTES = 8 << 20
+#: Keys of at least this part of all rows are dealt to SALTS tasks in ``salted_join``.
+HEAVY, SALTS = 1000, 64
+_written: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -36,11 +40,49 @@ def written(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored = path
+    _written.append(path)
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Deletes the files of frames from ``written`` that nothing reads any more (earlier rounds of a loop)."""
+    for frame in frames:
+        _delete(frame.sparkSession, frame._stored)
+
+
+def clean(spark: SparkSession) -> None:
+    """Deletes all that ``written`` has stored; for the end of a session, when no result is read any more."""
+    while _written:
+        _delete(spark, _written[-1])
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    if path in _written:
+        _written.remove(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str], how: str = "inner") -> DataFrame:
+    """``left`` joined with ``right``, which holds at most one row for each key, none of them null.
+
+    Keys that may hold more than 1/HEAVY of the rows of ``left`` are named by a Misra-Gries pass (at most
+    HEAVY of them, which are broadcast); their rows are dealt to SALTS tasks by a hash of the columns
+    ``spread``, to each of which the row of ``right`` goes.  All other rows are joined as they are.
+    """
+    key = F.xxhash64(*keys).alias("_key")
+    named = left.select(key).freqItems(["_key"], 1 / HEAVY).select(F.explode("_key_freqItems").alias("_key"))
+    named = F.broadcast(written(named.distinct().withColumn("_hot", F.lit(True)), "frequent-keys"))
+    few = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(SALTS))).otherwise(0).cast("int")
+    each = F.explode(F.sequence(F.lit(0), F.when(F.col("_hot"), SALTS - 1).otherwise(0)))
+    dealt = lambda rows, salt: rows.withColumn("_key", key).join(named, "_key", "left").withColumn("_salt", salt).drop("_key", "_hot")
+    return dealt(left, few).join(dealt(right, each), [*keys, "_salt"], how).drop("_salt")
 
 
 def bounded_batches(spark: SparkSession) -> None:
-    """Python workers get batches of at most BATCH_BYTES."""
+    """Python workers get batches of at most BATCH_BYTES; holds for the session, since plans run later."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, exact_dedup, packing, quality, quality_sql, secret_scan, sharding, simhash, suffix_dedup, toxicity
+from . import bpe, chat, chat_query, exact_dedup, packing, quality, quality_sql, secret_scan, sharding, simhash, suffix_dedup, toxicity
 from .common import documents
 
 
@@ -35,7 +35,7 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.formatted(documents(spark, sf_dir, "conversations"))
+    return chat.formatted(chat_query.with_calls(documents(spark, sf_dir, "conversations")), chat_query.SCHEMAS)
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,13 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
-    # The table holds no tool calls; tests hold linked calls against brute force.
-    "op5_chat_format": """
-        SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, role, CAST(turn AS BIGINT) AS place, CAST(0 AS BIGINT) AS rank,
-               '{"content":' || to_json(text) || ',"role":' || to_json(role) || ',"turn":' || turn || '}' AS message,
-               CAST(0 AS BIGINT) AS n_calls, CAST(0 AS BIGINT) AS n_valid, CAST(0 AS BIGINT) AS n_answered, CAST(NULL AS BOOLEAN) AS linked
-        FROM conversations
-    """,
+    "op5_chat_format": chat_query.SQL,
     "op6_quality_rules": quality_sql.SQL,
     "op7_exact_dedup": """
         WITH t AS (
