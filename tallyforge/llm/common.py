@@ -71,6 +71,7 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list
     Keys that may hold more than 1/HEAVY of the rows of ``left`` are named by a Misra-Gries pass (at most
     HEAVY of them, which are broadcast); their rows are dealt to SALTS tasks by a hash of the columns
     ``spread``, to each of which the row of ``right`` goes.  All other rows are joined as they are.
+    ``right`` has a row for each of many keys, so it is sorted and merged, never broadcast.
     """
     key = F.xxhash64(*keys).alias("_key")
     named = left.select(key).freqItems(["_key"], 1 / HEAVY).select(F.explode("_key_freqItems").alias("_key"))
@@ -78,7 +79,7 @@ def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list
     few = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(SALTS))).otherwise(0).cast("int")
     each = F.explode(F.sequence(F.lit(0), F.when(F.col("_hot"), SALTS - 1).otherwise(0)))
     dealt = lambda rows, salt: rows.withColumn("_key", key).join(named, "_key", "left").withColumn("_salt", salt).drop("_key", "_hot")
-    return dealt(left, few).join(dealt(right, each), [*keys, "_salt"], how).drop("_salt")
+    return dealt(left, few).join(dealt(right, each).hint("merge"), [*keys, "_salt"], how).drop("_salt")
 
 
 def bounded_batches(spark: SparkSession) -> None:

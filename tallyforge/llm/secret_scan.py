@@ -8,7 +8,11 @@ either is a widely copied example.  Base spans are always reported, with both co
 candidates only where they look live.
 
 Skew: (hash, owner) and (hash, repository) are made distinct before counting, so a copied example
-costs a row for each task and owner, and candidates are joined with the counts under a salt.
+costs a row for each task and owner.  Candidates are joined with the counts by hash; only hashes that a
+Misra-Gries pass finds frequent are salted.
+
+A further candidate counts only where it overlaps no base span and no further span of an earlier kind;
+the test is a binary search among disjoint ranges, so a text costs as much as its sorting.
 
 A null text counts as empty; null repositories and owners count as one.  Repeated rows report each.
 Empty tables give empty results.
@@ -19,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -26,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, written
+from .common import bounded_batches, salted_join, written
 
 #: Kinds in the order that breaks ties between spans of one start; the first three are the base kinds.
 KINDS = ["assign", "access", "hex", "provider", "pem", "token"]
@@ -42,7 +47,6 @@ TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{24,}")
 LEAST_ENTROPY = 3.5  # bits a character
 OWNERS = 2
 REPOSITORIES = 3  # an owner's own key may stand in a few of its repositories
-SALTS = 16
 _HINTS = ("password", "passwd", "secret", "token", "api_key", "apikey")
 _PROVIDERS = ("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xox", "sk_live_", "AIza", "eyJ")
 _FOUND = "array<struct<kind:int,start:int,end:int,hash:long>>"
@@ -56,6 +60,18 @@ def _mixed(value: str) -> bool:
     return -sum(k / n * math.log2(k / n) for k in Counter(value).values()) >= LEAST_ENTROPY
 
 
+def _ranges(spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the disjoint ranges that the spans cover together."""
+    starts, ends = [], []
+    for start, end in sorted(spans):
+        if ends and start <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            starts.append(start)
+            ends.append(end)
+    return starts, ends
+
+
 def find(text: str) -> list[tuple[int, int, int, str]]:
     """(kind, start, end, value) in code points, end exclusive, by start and then kind."""
     found = []
@@ -65,15 +81,22 @@ def find(text: str) -> list[tuple[int, int, int, str]]:
     if "AKIA" in text:
         found += [(1, m.start(), m.end(), m[0]) for m in ACCESS.finditer(text)]
     found += [(2, m.start(), m.end(), m[0]) for m in HEX.finditer(text)]
-    more = []
-    if any(p in text for p in _PROVIDERS):
-        more += [(3, m.start(), m.end(), m[0]) for m in PROVIDER.finditer(text)]
-    if "PRIVATE KEY" in text:
-        more += [(4, m.start(), m.end(), m[0]) for m in PEM.finditer(text)]
-    more += [(5, m.start(), m.end(), m[0]) for m in TOKEN.finditer(text) if _mixed(m[0])]
-    for kind, start, end, value in more:  # what overlaps a span already found adds nothing
-        if not any(s < end and start < e for _, s, e, _ in found):
-            found.append((kind, start, end, value))
+    taken = _ranges([(s, e) for _, s, e, _ in found])
+    for kind, pattern, here in ((3, PROVIDER, any(p in text for p in _PROVIDERS)), (4, PEM, "PRIVATE KEY" in text), (5, TOKEN, True)):
+        if not here:
+            continue
+        starts, ends = taken
+        new = []
+        for m in pattern.finditer(text):
+            if kind == 5 and not _mixed(m[0]):
+                continue
+            # Ranges are disjoint: only the last that begins before the match ends can reach into it.
+            at = bisect_left(starts, m.end()) - 1
+            if at < 0 or ends[at] <= m.start():
+                new.append((kind, m.start(), m.end(), m[0]))
+        if new:
+            found += new
+            taken = _ranges([*zip(starts, ends, strict=True), *((s, e) for _, s, e, _ in new)])
     return sorted(found, key=lambda x: (x[1], x[0]))
 
 
@@ -105,10 +128,10 @@ def ownership(found: DataFrame) -> DataFrame:
 
 def classified(found: DataFrame, owners: int = OWNERS, repositories: int = REPOSITORIES) -> DataFrame:
     """_row, spans (kind, start, end, live, n_repositories, n_owners) of the rows with any, in order."""
-    counts = ownership(found).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    each = found.select("_row", F.explode("found").alias("s")).select("_row", "s.*", F.pmod(F.xxhash64("_row", "s.start"), F.lit(SALTS)).cast("int").alias("_salt"))
+    counts = written(ownership(found), "secret-owners")
+    each = found.select("_row", F.explode("found").alias("s")).select("_row", "s.*")
     live = (F.col("n_owners") <= owners) & (F.col("n_repositories") <= repositories)
-    each = each.join(counts, ["hash", "_salt"]).filter((F.col("kind") < len(BASE)) | live)
+    each = salted_join(each, counts, ["hash"], ["_row", "start"]).filter((F.col("kind") < len(BASE)) | live)
     return each.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", live.alias("live"), "n_repositories", "n_owners"))).alias("spans"))
 
 

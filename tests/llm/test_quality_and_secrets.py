@@ -1,6 +1,9 @@
 import collections
 import hashlib
+import math
+import random
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -142,6 +145,59 @@ def test_find_has_every_base_span(text):
     assert [(s, k) for k, s, _, _ in found] == sorted((s, k) for k, s, _, _ in found)
 
 
+def further_spans(text):
+    """Further spans by comparing each match with every span before it."""
+    spans = [(int(s), int(e)) for s, e in (x.split(":")[1:] for x in base_spans(text))]
+    found = []
+    for kind, pattern in (("provider", secret_scan.PROVIDER), ("pem", secret_scan.PEM), ("token", secret_scan.TOKEN)):
+        for m in pattern.finditer(text):
+            if kind == "token":
+                shares = [m[0].count(c) / len(m[0]) for c in set(m[0])]
+                kinds = [any(f(c) for c in m[0]) for f in (str.isdigit, str.islower, str.isupper)]
+                if not all(kinds) or -sum(p * math.log2(p) for p in shares) < 3.5 - 1e-12:
+                    continue
+            if all(m.end() <= s or e <= m.start() for s, e in spans):
+                spans.append((m.start(), m.end()))
+                found.append((m.start(), kind, m.end(), m[0]))
+    return found
+
+
+PIECES = [TOKEN, TOKEN[::-1], KEY, "0123456789abcdef" * 2, "ghp_" + "aB1" * 12, "xoxb-" + "1a" * 8, "-----BEGIN PRIVATE KEY-----", "password=", "token: ", " ", "\n", "é", "A1b2" * 6, "/", "eyJabcdefghi.eyJabcdefgh1.sig"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=12).map("".join))
+def test_further_spans(text):
+    got = [(s, secret_scan.KINDS[k], e, v) for k, s, e, v in secret_scan.find(text) if k > 2]
+    assert got == sorted(further_spans(text))
+
+
+def test_ownership_against_brute_force(spark):
+    rng = random.Random(4)
+    rows = [(i, "".join(rng.choice(PIECES) + " " for _ in range(rng.randint(0, 5))), rng.choice(["en", "de", "fr", None]), rng.choice(["a", "b", "c", "d", None])) for i in range(150)]
+    holders = collections.defaultdict(lambda: (set(), set()))
+    found = {}
+    for i, text, lang, source in rows:
+        values = {}
+        for k, s, e, v in secret_scan.find(text):
+            values[f"{secret_scan.KINDS[k]}:{s}:{e}"] = (k, v)
+            holders[v][0].add((source, lang))
+            holders[v][1].add(source)
+        found[i] = values
+    live = lambda v: len(holders[v][1]) <= 2 and len(holders[v][0]) <= 3
+    for r in secret_scan.report(frame(spark, rows).repartition(4)).collect():
+        told = [(span, kv) for span, kv in found[r.doc_id].items() if kv[0] < 3 or live(kv[1])]
+        assert r.spans == ",".join(span for span, _ in told)
+        assert (r.n_live, r.n_example) == (sum(live(v) for _, (_, v) in told), sum(not live(v) for _, (_, v) in told))
+        assert r.owners == ",".join(str(len(holders[v][1])) for _, (_, v) in told) and r.repositories == ",".join(str(len(holders[v][0])) for _, (_, v) in told)
+
+
+def test_many_spans_in_one_text():
+    began = time.perf_counter()
+    text = " ".join(f"{TOKEN}{i}" for i in range(100_000))  # 3 MB
+    assert len(secret_scan.find(text)) == 100_000 and time.perf_counter() - began < 30
+
+
 def test_ownership_parts_live_from_copied(spark):
     copied = "zZ9yY8xX7wW6vV5uU4tT3sS2"
     rows = [(i, f"example {copied} end", "en", f"s{i % 5}") for i in range(20)] + [(50, f"mine {TOKEN}", "en", "s1"), (51, f"mine {TOKEN}", "de", "s1")]
