@@ -2,15 +2,17 @@
 
 1. Pre-tokens of each document are exploded with their positions.  A block of documents keeps its
    distinct pre-tokens once and, for each position, the pre-token's number in the block.
-2. The distinct pre-tokens of all blocks are shuffled by hash, and each is encoded once.
+2. The distinct pre-tokens of all blocks are shuffled by hash, and each is encoded once: the task of a
+   bucket remembers the ids of all its pre-tokens.  Buckets grow in number with the input, so that a
+   bucket holds the distinct pre-tokens of BUCKET_BYTES of it; blocks grow with its root, and once they
+   have reached MOST_BLOCK a bucket's share grows with the root of the input too.
 3. The ids are joined back to the blocks, and texts are reassembled by position.
 
 Decoding joins the token-byte table: the tables of token bytes have as many rows as the vocabulary,
 whose size is fixed, so they go to every worker.
 
 A null text counts as empty.  Rows that repeat a doc_id are encoded each.  Empty tables give empty
-results.  A bucket's pre-tokens are remembered up to REMEMBERED; beyond it the memory starts afresh,
-which costs time and changes nothing.
+results.
 """
 
 from __future__ import annotations
@@ -26,10 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import arrow_rows, arrow_types, by_key, document_blocks, expand, pack_numbers, pack_parts, pack_strings, ragged, squeeze, unpack_numbers, unpack_parts, unpack_strings
-from .common import bounded_batches, shuffle_width, written
+from .common import block_size, bounded_batches, shuffle_width, stored_bytes, written
 
-BLOCK_BYTES = 32 << 20
-REMEMBERED = 1_000_000
+#: Blocks grow with the root of the input, from BLOCK_BYTES to MOST_BLOCK.
+BLOCK_BYTES, MOST_BLOCK, BLOCK_ROOT = 32 << 20, 128 << 20, 12.8
+BUCKET_BYTES = 256 << 20
+#: Bytes of a block for each bucket at least.
+LEAST_CELL = 1024
 #: The bucket number of documents, which orders them behind the replies.
 LAST = (1 << 31) - 1
 _ROW = "block long, bucket int, words binary, docs binary"
@@ -41,14 +46,39 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
 
 
-def encoder(pattern: str, ranks: dict[bytes, int]):
-    """The library's encoding, kept for a worker's life."""
-    key = (pattern, len(ranks))
-    if _memory.get("key") != key:
-        import tiktoken
+def fingerprint(ranks: dict[bytes, int]) -> str:
+    """Names a vocabulary by its contents."""
+    named = hashlib.blake2b(digest_size=16)
+    for token in sorted(ranks):
+        named.update(b"%d %d " % (ranks[token], len(token)) + token)
+    return named.hexdigest()
 
-        _memory.update(key=key, encoding=tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}))
-    return _memory["encoding"]
+
+def kept(name: tuple, make):
+    """What ``make`` gives, kept under the name for a worker's life; one thing of each kind (``name[0]``)."""
+    if _memory.get(name[0], (None,))[0] != name:
+        _memory[name[0]] = name, make()
+    return _memory[name[0]][1]
+
+
+def encoder(pattern: str, ranks: dict[bytes, int], vocabulary: str):
+    """The library's encoding."""
+    import tiktoken
+
+    return kept(("encoding", pattern, vocabulary), lambda: tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}))
+
+
+def answered(bucket: int, rows: Iterator[dict], encode_one) -> Iterator[tuple]:
+    """For each cell of a bucket's words the lengths and ids of their encodings; each distinct word is encoded once."""
+    known: dict[bytes, bytes] = {}
+    for row in rows:
+        cells = []
+        for w in unpack_strings(row["words"]):
+            if (cell := known.get(w)) is None:
+                cell = known[w] = np.array(encode_one(w.decode()), "<u4").tobytes()
+            cells.append(cell)
+        lengths = np.fromiter(map(len, cells), np.int64, len(cells)) // 4
+        yield row["block"], bucket, pack_parts(pack_numbers(lengths), pack_numbers(np.frombuffer(b"".join(cells), "<u4"))), None
 
 
 class TokenBytes:
@@ -120,7 +150,7 @@ def _blocks(docs: DataFrame, pattern: str, buckets: int, block_bytes: int, rows_
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, _ROW)
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, block_bytes: int = BLOCK_BYTES, finish=None, schema: str = "doc_id long, ids binary", stored: bool = False) -> DataFrame:
+def encode(docs: DataFrame, ranks_path: str, pattern: str, block_bytes: int | None = None, finish=None, schema: str = "doc_id long, ids binary", stored: bool = False) -> DataFrame:
     """doc_id and its token ids as little-endian unsigned 32-bit integers, or what ``finish(ids)`` makes of them.
 
     ``finish`` takes an array of ids and returns the further columns of ``schema``.  The documents are
@@ -131,23 +161,15 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, block_bytes: int = BL
     if not stored:
         docs = written(docs.select("doc_id", "text"), "bpe-documents")
     table = read_ranks(ranks_path)
-    ranks = spark.sparkContext.broadcast(table)
-    width = shuffle_width(spark)
-    words = _blocks(docs, pattern, width, block_bytes, Block.asked).select("block", "bucket", "words")
-    documents = _blocks(docs, pattern, width, block_bytes, lambda block: [block.documents()])
+    ranks, vocabulary = spark.sparkContext.broadcast(table), fingerprint(table)
+    width, total = shuffle_width(spark), stored_bytes(docs)
+    block_bytes = block_bytes or block_size(total, BLOCK_BYTES, MOST_BLOCK, BLOCK_ROOT)
+    buckets = max(width, min(total // BUCKET_BYTES, block_bytes // LEAST_CELL))
+    words = _blocks(docs, pattern, buckets, block_bytes, Block.asked).select("block", "bucket", "words")
+    documents = _blocks(docs, pattern, buckets, block_bytes, lambda block: [block.documents()])
 
     def answer(bucket: int, rows: Iterator[dict]) -> Iterator[tuple]:
-        piece, known = encoder(pattern, ranks.value).encode_ordinary, {}
-        for row in rows:
-            if len(known) > REMEMBERED:
-                known.clear()
-            cells = []
-            for w in unpack_strings(row["words"]):
-                if (cell := known.get(w)) is None:
-                    cell = known[w] = np.array(piece(w.decode()), "<u4").tobytes()
-                cells.append(cell)
-            lengths = np.fromiter(map(len, cells), np.int64, len(cells)) // 4
-            yield row["block"], bucket, pack_parts(pack_numbers(lengths), pack_numbers(np.frombuffer(b"".join(cells), "<u4"))), None
+        return answered(bucket, rows, encoder(pattern, ranks.value, vocabulary).encode_ordinary)
 
     def assemble(block: int, rows: Iterator[dict]) -> Iterator[tuple]:
         lengths, ids, last = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)], -1
@@ -199,14 +221,14 @@ def decimal_table(ranks: dict[bytes, int]) -> TokenBytes:
     return TokenBytes({r: b"%d," % r for r in ranks.values()})
 
 
-def round_trip(docs: DataFrame, ranks_path: str, pattern: str, block_bytes: int = BLOCK_BYTES, stored: bool = False) -> DataFrame:
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str, block_bytes: int | None = None, stored: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256: texts encoded, and the ids decoded again."""
-    ranks = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    table = read_ranks(ranks_path)
+    ranks, vocabulary = docs.sparkSession.sparkContext.broadcast(table), fingerprint(table)
     sha = lambda b: hashlib.sha256(b).hexdigest()
 
     def finish(ids: np.ndarray) -> tuple:
-        if _memory.get("tables_of") != ranks_path:
-            _memory.update(tables_of=ranks_path, digits=decimal_table(ranks.value), bytes=TokenBytes({r: t for t, r in ranks.value.items()}))
-        return len(ids), sha(_memory["digits"].join(ids)[:-1]), sha(_memory["bytes"].join(ids))
+        digits, cells = kept(("tables", vocabulary), lambda: (decimal_table(ranks.value), TokenBytes({r: t for t, r in ranks.value.items()})))
+        return len(ids), sha(digits.join(ids)[:-1]), sha(cells.join(ids))
 
     return encode(docs, ranks_path, pattern, block_bytes, finish, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", stored)

@@ -95,6 +95,17 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def stored_bytes(docs: DataFrame) -> int:
+    """Size of the input as its files have it, from the plan's statistics; what has none is summed up."""
+    size = int(docs._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size if size < 1 << 60 else docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+
+
+def block_size(total: int, least: int, most: int, root: float) -> int:
+    """Bytes of a block: in proportion to the root of the input, so that cells (blocks x buckets) grow as the input does."""
+    return int(min(most, max(least, root * total**0.5)))
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z and nothing else."""
     return F.translate(text, UPPER, LOWER)

@@ -35,8 +35,8 @@ from .common import bounded_batches
 CAPACITY = 4096
 END_ID = 2
 GROUP_TOKENS = 1 << 19
-#: Words whose ids a worker remembers in each of two generations.
-REMEMBERED = 400_000
+#: Bytes of words and ids that a worker remembers in each of two generations, with what an entry takes besides.
+REMEMBERED_BYTES, ENTRY_BYTES = 64 << 20, 120
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
 
@@ -63,9 +63,13 @@ class WordEncoder:
         # How the library spells each plain letter's bytes before it merges them.
         letters = [chr(c) for c in (*range(97, 123), *range(0xDF, 0xF7), *range(0xF8, 0x100))]
         self.spelling = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in letters}
-        self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
+        self._renew()
+
+    def _renew(self) -> None:
+        self.known: dict[bytes, bytes] = {}
         self.parts: dict[str, bytes] = {"": b""}
+        self.size = 0
 
     def _whole(self, text: str) -> bytes:
         return _cell(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -80,8 +84,10 @@ class WordEncoder:
         letters, marks = plain[1].lower(), plain[2]
         if (head := self.parts.get(letters)) is None:
             head = self.parts[letters] = _cell([t.id for t in self.merge(letters.translate(self.spelling))])
+            self.size += len(letters) + len(head) + ENTRY_BYTES
         if (end := self.parts.get(marks)) is None:
             end = self.parts[marks] = self._whole(marks)
+            self.size += len(marks) + len(end) + ENTRY_BYTES
         return head + end
 
     def encode(self, words: list[bytes]) -> bytes:
@@ -89,13 +95,15 @@ class WordEncoder:
         known = self.known
         cells = list(map(known.get, words))
         if None in cells:
-            if len(known) > REMEMBERED:  # frequent words come back from the older generation
-                self.older, self.known, self.parts = known, {}, {"": b""}
-                known = self.known
-            for w in words:
-                if w not in known:
-                    known[w] = self.learn(w)
-            cells = map(known.__getitem__, words)
+            # By the cell's place, since the memory may be renewed on the way.
+            for i in [i for i, cell in enumerate(cells) if cell is None]:
+                if (cell := self.known.get(words[i])) is None:
+                    if self.size > REMEMBERED_BYTES:  # frequent words come back from the older generation
+                        self.older = self.known
+                        self._renew()
+                    cell = self.known[words[i]] = self.learn(words[i])
+                    self.size += len(words[i]) + len(cell) + ENTRY_BYTES
+                cells[i] = cell
         return b"".join(cells)
 
 

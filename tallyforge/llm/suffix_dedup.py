@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import arrow_rows, arrow_types, by_key, document_blocks, expand, pack_numbers, pack_parts, pack_strings, ragged, squeeze, unpack_numbers, unpack_parts, unpack_strings
-from .common import bounded_batches, shuffle_width, written
+from .common import block_size, bounded_batches, shuffle_width, written
 
 DEPTH = 50
 GRAM = 24
@@ -313,7 +313,7 @@ def remove_repeats(docs: DataFrame, depth: int = DEPTH, block_bytes: int | None
     spark = docs.sparkSession
     width = shuffle_width(spark)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    block_bytes = block_bytes or int(min(MOST_BLOCK, max(LEAST_BLOCK, BLOCK_ROOT * total**0.5)))
+    block_bytes = block_bytes or block_size(total, LEAST_BLOCK, MOST_BLOCK, BLOCK_ROOT)
     buckets = buckets or max(width, min(total // BUCKET_BYTES, block_bytes // 1024))
     blocks = _blocks(docs, block_bytes)
     types = arrow_types(spark, _ROW)

@@ -1,3 +1,5 @@
+import base64
+import collections
 import hashlib
 import random
 import zlib
@@ -8,7 +10,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tallyforge.llm import bpe, packing
+from tallyforge.llm import blocks, bpe, packing
 
 RANKS, WORDS = P.path("byte_bpe_multi_50k.tiktoken"), P.path("word_bpe_49k.json")
 ODD = [None, "", " ", "\n\n \t", "a" * 20000, "the " * 30000, "It's  don't\twe'll 1,000.5", "ß ẞ Ÿ ÀÉ Σ ΑΣ", "<|endoftext|> <|startoftext|>x", "á é́. ﬁ", "नमस्ते 你好", "x\x1cy\x1d\xa0z ", "!!! ?!, ...", "a\x00b", "İı µªº ½"]
@@ -57,6 +59,47 @@ def test_byte_bpe_repeats_nulls_and_empty(spark):
     assert bpe.round_trip(df.limit(0), RANKS, P.PATTERN).count() == 0
 
 
+def test_each_word_is_encoded_once():
+    words = [(b"%d" % i) * 900 for i in range(20_000)]  # 80 MB in all
+    cells = [{"block": k, "words": blocks.pack_strings(words[k * 1000 : (k + 4) * 1000] + words[:50])} for k in range(20)]
+    times = collections.Counter()
+
+    def encode_one(text):
+        times[text] += 1
+        return [len(text), int(text[:3])]
+
+    for row, (block, bucket, cell, docs) in zip(cells, bpe.answered(5, iter(cells), encode_one), strict=True):
+        lengths, ids = map(blocks.unpack_numbers, blocks.unpack_parts(cell))
+        own = blocks.unpack_strings(row["words"])
+        assert (block, bucket, docs) == (row["block"], 5, None) and set(lengths) == {2} and ids.reshape(-1, 2).tolist() == [[len(w), int(w[:3])] for w in own]
+    assert len(times) == 20_000 and set(times.values()) == {1}
+
+
+def test_vocabularies_of_one_size_are_kept_apart(spark, tmp_path):
+    ranks = bpe.read_ranks(RANKS)
+    a, b = sorted(ranks, key=ranks.get)[300:302]
+    other = {**ranks, a: ranks[b], b: ranks[a]}
+    path = tmp_path / "other.tiktoken"
+    path.write_bytes(b"".join(base64.b64encode(t) + b" %d\n" % r for t, r in other.items()))
+    df = spark.createDataFrame([(1, (a + b" " + b).decode("utf-8", "ignore") + " the end")], "doc_id long, text string").repartition(1)
+    first = bpe.round_trip(df, RANKS, P.PATTERN).first()
+    second = bpe.round_trip(df, str(path), P.PATTERN).first()
+    assert first.decoded_sha256 == second.decoded_sha256 and first.ids_sha256 != second.ids_sha256
+
+
+def test_word_memory_is_bounded_by_bytes(monkeypatch):
+    with open(WORDS, encoding="utf-8") as f:
+        encoder = packing.WordEncoder(f.read())
+    text = [w for i in range(400) for w in (b"the", b"z" * 300 + b"%d" % i, b"word%d." % (i % 7), "é".encode() * (i % 90))]
+    want = encoder.encode(text)
+    monkeypatch.setattr(packing, "REMEMBERED_BYTES", 20_000)
+    small = packing.WordEncoder.__new__(packing.WordEncoder)
+    small.__dict__.update(encoder.__dict__, older={})
+    small._renew()
+    assert b"".join(small.encode(text[i : i + 37]) for i in range(0, len(text), 37)) == want and small.encode(text) == want
+    assert sum(len(k) + len(v) for k, v in {**small.known, **small.older}.items()) < 60_000
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.text())
 def test_word_encoder_is_the_librarys(text):
