@@ -36,7 +36,7 @@ CAPACITY = 4096
 END_ID = 2
 GROUP_TOKENS = 1 << 19
 #: Bytes of words and ids that a worker remembers in each of two generations, with what an entry takes besides.
-REMEMBERED_BYTES, ENTRY_BYTES = 64 << 20, 120
+REMEMBERED_BYTES, ENTRY_BYTES = 160 << 20, 120
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
 
