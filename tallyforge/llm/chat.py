@@ -292,7 +292,7 @@ def depths(rows: DataFrame, small: int = SMALL) -> DataFrame:
     large = nodes.filter(F.col("_calls") > small)
     if large.limit(1).count():
         done = done.unionByName(_larger(large))
-    return written(nodes.select("conv", "id").join(done, ["conv", "id"], "left"), "chat-depths")
+    return nodes.select("conv", "id").join(done, ["conv", "id"], "left")
 
 
 def formatted(messages: DataFrame, schemas: dict[str, dict] | None = None, small: int = SMALL) -> DataFrame:
@@ -301,9 +301,8 @@ def formatted(messages: DataFrame, schemas: dict[str, dict] | None = None, small
     for schema in schemas.values():
         check_schema(schema)
     rows = parsed(messages, schemas)
-    links = written(linked(rows), "chat-links")
     order = depths(rows, small).select("conv", "id", F.col("depth").alias("_depth"), F.col("place").alias("_place"), F.lit(True).alias("_ordered"))
-    known = written(links.join(order, ["conv", "id"], "left"), "chat-known")
+    known = written(linked(rows).join(order, ["conv", "id"], "left"), "chat-known")
     # A call id may be frequent within its conversation: its rows are spread over tasks.
     calls = salted_join(_call_rows(rows), known, ["conv", "id"], ["_row", "_at"])
     # What a message's calls come to: one row for each message with calls.

@@ -21,8 +21,10 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 #: Bytes of one Arrow batch handed to a Python worker; bounds a worker's memory whatever the row size.
 BATCH_BYTES = 8 << 20
-#: Keys of at least this part of all rows are dealt to SALTS tasks in ``salted_join``.
-HEAVY, SALTS = 1000, 64
+#: Keys of more than 1/HEAVY of all rows, and of more than LEAST_HOT, are dealt to SALTS tasks in ``salted_join``.
+HEAVY, LEAST_HOT, SALTS = 1000, 1000, 64
+#: Row numbers of dropped documents that may be broadcast (8 bytes each).
+MOST_BROADCAST = 1_000_000
 _written: list[str] = []
 
 
@@ -65,21 +67,42 @@ def _delete(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str], how: str = "inner") -> DataFrame:
-    """``left`` joined with ``right``, which holds at most one row for each key, none of them null.
+def frequent_keys(rows: DataFrame, keys: list[str]) -> list[int]:
+    """Hashes of the keys that hold more than 1/HEAVY of the rows, and LEAST_HOT at least; fewer than HEAVY of them.
 
-    Keys that may hold more than 1/HEAVY of the rows of ``left`` are named by a Misra-Gries pass (at most
-    HEAVY of them, which are broadcast); their rows are dealt to SALTS tasks by a hash of the columns
-    ``spread``, to each of which the row of ``right`` goes.  All other rows are joined as they are.
-    ``right`` has a row for each of many keys, so it is sorted and merged, never broadcast.
+    A Misra-Gries pass names candidates, at most HEAVY, and a count of their rows verifies them.
     """
     key = F.xxhash64(*keys).alias("_key")
-    named = left.select(key).freqItems(["_key"], 1 / HEAVY).select(F.explode("_key_freqItems").alias("_key"))
-    named = F.broadcast(written(named.distinct().withColumn("_hot", F.lit(True)), "frequent-keys"))
-    few = F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(SALTS))).otherwise(0).cast("int")
-    each = F.explode(F.sequence(F.lit(0), F.when(F.col("_hot"), SALTS - 1).otherwise(0)))
-    dealt = lambda rows, salt: rows.withColumn("_key", key).join(named, "_key", "left").withColumn("_salt", salt).drop("_key", "_hot")
-    return dealt(left, few).join(dealt(right, each).hint("merge"), [*keys, "_salt"], how).drop("_salt")
+    named = rows.select(key).freqItems(["_key"], 1 / HEAVY).first()[0] or []
+    counts = rows.select(F.when(key.isin(named), key).alias("_key")).groupBy("_key").count().collect() if named else []
+    least = max(LEAST_HOT, sum(r["count"] for r in counts) / HEAVY)
+    return [r["_key"] for r in counts if r["_key"] is not None and r["count"] > least]
+
+
+def salted_join(left: DataFrame, right: DataFrame, keys: list[str], spread: list[str], how: str = "inner", hot: list[int] | None = None) -> DataFrame:
+    """``left`` (read from files, since it is read more than once) joined with ``right``, which holds at most one row for each key, none of them null.
+
+    Rows of ``left`` whose keys are frequent there (``hot``, by default ``frequent_keys``) are dealt to
+    SALTS tasks by a hash of the columns ``spread``, to each of which the row of ``right`` goes.  All other
+    rows are joined as they are.  ``right`` has a row for each of many keys, so it is sorted and merged,
+    never broadcast.
+    """
+    hot = frequent_keys(left, keys) if hot is None else hot
+    if not hot:
+        return left.join(right.hint("merge"), keys, how)
+    is_hot = F.xxhash64(*keys).isin(hot)
+    left = left.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(*spread), F.lit(SALTS))).otherwise(0).cast("int"))
+    right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.when(is_hot, SALTS - 1).otherwise(0))))
+    return left.join(right.hint("merge"), [*keys, "_salt"], how).drop("_salt")
+
+
+def without(rows: DataFrame, losers: DataFrame) -> DataFrame:
+    """``rows`` but those whose _row is among ``losers`` (written).
+
+    Up to MOST_BROADCAST losers are broadcast and no text moves; beyond it both sides are sorted and joined.
+    """
+    few = losers.count() <= MOST_BROADCAST
+    return rows.join(F.broadcast(losers) if few else losers.hint("merge"), "_row", "left_anti")
 
 
 def bounded_batches(spark: SparkSession) -> None:

@@ -9,7 +9,8 @@
 
 Two texts are equal if they are identical after lower-casing A-Z; groups are by SHA-256 of that
 form.  A null text counts as empty.  Of equal texts the row with the largest doc_id stays, a null
-doc_id ranking lowest; of rows that repeat a doc_id too, one stays.  Empty tables give empty results.
+doc_id ranking lowest; of rows that repeat a doc_id too, the last as stored is kept (see also
+``deduplicate``).  Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, text_or_empty, written
+from .common import ascii_lower, text_or_empty, without, written
 
 #: Share of rows above which a text is settled by broadcast; also bounds the broadcast to 1/SUPPORT rows.
 SUPPORT = 1e-4
@@ -41,18 +42,21 @@ def _frequent(rows: DataFrame, sha: str, rank: Column, support: float) -> DataFr
     )
 
 
+def _settled(rows: DataFrame, sha: str, rank: Column, support: float) -> DataFrame:
+    """``rows`` (written) with _keep, the greatest ``rank`` of their text, and _size; ``rank`` ends with _row."""
+    winners = written(_frequent(rows, sha, rank, support), "exact-winners")
+    frequent = rows.join(F.broadcast(winners), sha)
+    group = Window.partitionBy(sha)
+    ordinary = rows.join(F.broadcast(winners), sha, "left_anti")
+    ordinary = ordinary.withColumns({"_keep": F.max(rank).over(group), "_size": F.count(F.lit(1)).over(group)})
+    return frequent.unionByName(ordinary)
+
+
 def duplicate_groups(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     slim = docs.select("doc_id", digest().alias("text_sha256"))
     slim = written(slim.withColumn("_row", F.monotonically_increasing_id()), "exact-digests")
-    rank = F.struct("doc_id", "_row")
-    winners = written(_frequent(slim, "text_sha256", rank, support), "exact-winners")
-    frequent = slim.join(F.broadcast(winners), "text_sha256")
-    group = Window.partitionBy("text_sha256")
-    ordinary = slim.join(F.broadcast(winners), "text_sha256", "left_anti").select(
-        "text_sha256", "doc_id", "_row", F.max(rank).over(group).alias("_keep"), F.count(F.lit(1)).over(group).alias("_size")
-    )
-    return frequent.unionByName(ordinary).select(
+    return _settled(slim, "text_sha256", F.struct("doc_id", "_row"), support).select(
         "doc_id",
         F.col("_keep.doc_id").alias("keep_id"),
         F.col("_size").alias("group_size"),
@@ -64,12 +68,14 @@ def duplicate_groups(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
 def deduplicate(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
     """``docs`` with one row of each group of equal texts; columns unchanged.
 
-    Copies of frequent texts go before the shuffle; what is left is shuffled by digest.
+    Of rows that repeat a doc_id too, but differ in case, the one whose text has the greatest hash stays;
+    of rows with the same doc_id and text the last as stored.  Only digests are shuffled: the rows that go
+    are dropped by their row number (``without``).
     """
-    # Documents travel as one struct, so their columns cannot clash with the operator's own.
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), "doc_id", digest().alias("sha"))
-    keys = written(rows.select("doc_id", "sha"), "exact-digests")
-    winners = _frequent(keys, "sha", F.struct("doc_id"), support).select("sha", F.col("_keep.doc_id").alias("keep_id"), F.lit(True).alias("heavy"))
-    left = rows.join(F.broadcast(written(winners, "exact-winners")), "sha", "left").filter(F.col("heavy").isNull() | F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    order = Window.partitionBy("sha").orderBy(F.col("doc_id").desc_nulls_last())
-    return left.withColumn("rank", F.row_number().over(order)).filter("rank = 1").select("doc.*")
+    # Renamed, so that the documents' columns cannot clash with the operator's own.
+    rows = docs.select(*(F.col(c).alias(f"_own_{c}") for c in docs.columns), F.unhex(digest()).alias("_sha"), F.xxhash64("text").alias("_tie"))
+    rows = written(rows.withColumn("_row", F.monotonically_increasing_id()), "exact-rows")
+    keys = rows.select("_sha", "_own_doc_id", "_tie", "_row")
+    losers = _settled(keys, "_sha", F.struct("_own_doc_id", "_tie", "_row"), support).filter("_row <> _keep._row").select("_row")
+    left = without(rows, written(losers, "exact-losers"))
+    return left.select(*(F.col(f"_own_{c}").alias(c) for c in docs.columns))

@@ -9,7 +9,7 @@
    fingerprints whose distances to any pivot differ by more than NEAR are discarded (triangle
    inequality); survivors are verified bit by bit.  Rows are ordered by the first pivot's distance, so
    the comparison of a row stops at the first that is too far, and pairs already connected are not
-   compared.  What leaves a task is at most one link a row, to its set's first member: never all pairs.
+   compared (``connect``).  What leaves a task is at most one link a row, to its set's first member: never all pairs.
 4. ``components``: least labels by propagation with pointer jumping, each round written to the shared
    folder.
 
@@ -29,7 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_batches, shuffle_width, written
+from .blocks import ragged
+from .common import bounded_batches, discard, frequent_keys, salted_join, shuffle_width, without, written
 
 BITS = 64
 SHINGLE = 4
@@ -38,10 +39,10 @@ NEAR = 4
 PIVOTS = 16
 #: Fingerprints expected to meet under one choice of parts, at most.
 MEETING = 64
-#: Row numbers of dropped documents that may be broadcast (8 bytes each).
-MOST_BROADCAST = 1_000_000
 #: Rows compared at a time, unless one meeting holds more.
 COMPARED = 200_000
+#: Rows behind it that each row of a meeting is compared with first, and pairs looked at together after that.
+STEPS, PAIRS = 32, 1 << 20
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
@@ -99,29 +100,61 @@ def pivots(count: int = PIVOTS) -> np.ndarray:
     return np.random.default_rng(SEED).integers(0, 1 << 64, count, dtype=np.uint64)
 
 
+def _union(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> None:
+    """Gives the sets of i[k] and j[k] one label, the least row of them all; labels stay roots."""
+    while len(i):
+        a, b = label[i], label[j]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while (label != (up := label[label])).any():
+            label[:] = up
+        open_ = label[i] != label[j]
+        i, j = i[open_], j[open_]
+
+
 def connect(meeting: np.ndarray, fps: np.ndarray, near: int = NEAR) -> np.ndarray:
-    """For each row a row of its connected set, the same for all of the set; links only inside a meeting."""
+    """For each row a row of its connected set, the same for all of the set; links only inside a meeting.
+
+    Rows are compared with the next STEPS of their meeting first, which connects most of any dense set.
+    Then the rows outside their meeting's largest set are compared with all that the first pivot's
+    distance leaves in reach: rows of one set need no comparison, so a meeting of n rows, k of them
+    outside its largest set, costs k times n at most.
+    """
     table = np.bitwise_count(fps[:, None] ^ pivots()[None, :]).astype(np.int8)
     order = np.lexsort((table[:, 0], meeting))
     meeting, fps, table = meeting[order], fps[order], table[order]
     n = len(fps)
-    label, at, step = np.arange(n), np.arange(n), 0
-    while len(at):
+    label = np.arange(n)
+
+    def verified(i: np.ndarray, j: np.ndarray) -> None:
+        apart = label[i] != label[j]
+        i, j = i[apart], j[apart]
+        within = np.abs(table[i] - table[j]).max(axis=1, initial=0) <= near
+        i, j = i[within], j[within]
+        same = np.bitwise_count(fps[i] ^ fps[j]) <= near
+        _union(label, i[same], j[same])
+
+    at, step = np.arange(n), 0
+    while len(at) and step < STEPS:
         step += 1
         at = at[at + step < n]
         # Neither a longer step nor a farther first coordinate can come back into reach.
         at = at[(meeting[at] == meeting[at + step]) & (table[at + step, 0] - table[at, 0] <= near)]
-        i = at[label[at] != label[at + step]]
-        i = i[np.abs(table[i] - table[i + step]).max(axis=1, initial=0) <= near]
-        i = i[np.bitwise_count(fps[i] ^ fps[i + step]) <= near]
-        j = i + step
-        while len(i):
-            a, b = label[i], label[j]
-            np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
-            while (label != (up := label[label])).any():
-                label = up
-            open_ = label[i] != label[j]
-            i, j = i[open_], j[open_]
+        verified(at, at + step)
+    if len(at):
+        opens = np.flatnonzero(np.concatenate(([True], meeting[1:] != meeting[:-1])))
+        number = np.cumsum(np.concatenate(([0], meeting[1:] != meeting[:-1])))
+        # Of each meeting a row of its largest set.
+        sets, times = np.unique(label, return_counts=True)
+        by_size = np.lexsort((times, number[sets]))
+        largest = sets[by_size[np.searchsorted(number[sets][by_size], np.arange(len(opens)), side="right") - 1]]
+        place = number * 256 + table[:, 0]
+        loose = np.flatnonzero(label != label[largest[number]])
+        while len(loose):
+            low, high = np.searchsorted(place, place[loose] - near), np.searchsorted(place, place[loose] + near, side="right")
+            some = max(1, int(np.searchsorted(np.cumsum(high - low), PAIRS, side="right")))
+            verified(np.repeat(loose[:some], (high - low)[:some]), ragged(low[:some], (high - low)[:some]))
+            loose = loose[some:]
+            loose = loose[label[loose] != label[largest[number[loose]]]]
     out = np.empty(n, np.int64)
     out[order] = order[label]
     return out
@@ -164,14 +197,18 @@ def components(edges: DataFrame) -> DataFrame:
     """node, label: the least node that each node of ``edges`` (a, b) reaches."""
     both = written(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "component-edges")
     labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label")), "component-labels")
+    hubs = frequent_keys(both, ["b"])
     while True:
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("_near"))
+        near = salted_join(both, labels.select(F.col("node").alias("b"), "label"), ["b"], ["a"], hot=hubs).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("_near"))
         hooked = labels.join(near, "node").select("node", F.least("label", "_near").alias("_to"), F.col("label").alias("_was"))
-        jumped = hooked.join(labels.select(F.col("node").alias("_to"), F.col("label").alias("_far")), "_to").select("node", F.least("_to", "_far").alias("label"), "_was")
-        labels = written(jumped, "component-labels")
-        if not labels.filter("label != _was").limit(1).count():
-            return labels.select("node", "label")
-        labels = labels.select("node", "label")
+        hooked = written(hooked, "component-hooks")
+        # Many nodes point to one label; those are dealt to several tasks as well.
+        jumped = salted_join(hooked, labels.select(F.col("node").alias("_to"), F.col("label").alias("_far")), ["_to"], ["node"]).select("node", F.least("_to", "_far").alias("label"), "_was")
+        new = written(jumped, "component-labels")
+        discard(labels, hooked)
+        if not new.filter("label != _was").limit(1).count():
+            return new.select("node", "label")
+        labels = new
 
 
 def _grouped(rows: DataFrame, first: Column) -> DataFrame:
@@ -180,14 +217,14 @@ def _grouped(rows: DataFrame, first: Column) -> DataFrame:
     sets = fps.join(components(links(fps.select("fp"))).withColumnRenamed("node", "fp"), "fp", "left").select("fp", "_first", F.coalesce("label", "fp").alias("_set"))
     sets = written(sets, "simhash-sets")
     least = sets.groupBy("_set").agg(F.min("_first").alias("_first"))
-    return sets.select("fp", "_set").join(least, "_set").select("fp", "_first")
+    return salted_join(sets.select("fp", "_set"), least, ["_set"], ["fp"]).select("fp", "_first")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint, component_id; one row per document."""
-    rows = fingerprints(docs, ["doc_id"]).select(F.col("_own_doc_id").alias("doc_id"), "fp")
+    rows = fingerprints(docs, ["doc_id"]).select(F.col("_own_doc_id").alias("doc_id"), "fp", "_row")
     found = _grouped(rows, F.col("doc_id")).withColumnRenamed("_first", "component_id")
-    return rows.join(found, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return salted_join(rows, found, ["fp"], ["_row"]).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -197,7 +234,5 @@ def keep_one(docs: DataFrame) -> DataFrame:
     rank = F.struct(F.col("_own_doc_id").isNull().alias("null"), F.col("_own_doc_id").alias("id"), "_row")
     winners = written(_grouped(rows.select("_own_doc_id", "fp", "_row"), rank).select(F.col("_first._row").alias("_row")).distinct(), "simhash-winners")
     losers = written(rows.select("_row").join(winners, "_row", "left_anti"), "simhash-losers")
-    # Texts are not shuffled to drop some rows; only past the bound are both sides sorted and joined.
-    few = losers.count() <= MOST_BROADCAST
-    left = rows.join(F.broadcast(losers) if few else losers.hint("merge"), "_row", "left_anti")
+    left = without(rows, losers)
     return left.select(*(F.col(f"_own_{c}").alias(c) for c in columns))
