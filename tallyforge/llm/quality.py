@@ -4,10 +4,19 @@
 three-word windows.  ``sketch`` keeps, per (lang, source) and ratio, a quantile sketch of logarithmic
 buckets: counts per bucket add up, so sketches of any two parts merge by summing, and a quantile is
 known within RELATIVE of its value.  ``thresholds`` reads the quartiles off and sets a fence beyond
-which a document is an outlier of its own group, and ``judge`` joins the fences back.
+which a document is an outlier, and ``judge`` joins the fences back.
 
-Fences: median + SPREADS * (upper quartile - median), plus the rule's SLACK and, for short texts,
-SHORT; the mean word length has a lower fence as well.
+A document is an outlier by
+
+* marks: its share of ASCII marks and digits among characters, and its symbols per word, both lie above the
+  median by SPREADS times the distance from median to upper quartile;
+* word length: the mean lies as far from the median on either side (lower quartile below);
+* repeated lines or words: more than TAIL beyond the group's 95th percentile (in units of its distance
+  from the median), since most documents repeat nothing and quartiles are zero.
+
+Spreads count as no less than chance would give a document of its length (``_noise``), and one repeated line
+or one window said twice is never an outlier; nothing else is fixed.  An outlier of its group must be one of
+its language as well: a group that consists mostly of junk, or of copies, does not condemn the rest.
 Groups of fewer than LEAST documents take the fences of their language, or else of the whole table.
 
 Words are runs without the six ASCII white-space characters.  A null text has none; null languages
@@ -18,8 +27,10 @@ in repeated windows.  Repeated rows count each; empty tables give empty results.
 from __future__ import annotations
 
 import math
+import operator
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -31,13 +42,15 @@ SYMBOLS = "#*$%&|<>"
 LEAST_WORDS = 50
 MOST_REPEATED = 50  # per cent of the words
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-#: Ratio -> slack added to its fence, so that groups that hardly vary keep ordinary documents.
-SLACK = {"symbol_ratio": 0.1, "dup_line_ratio": 0.1, "repeat_ratio": 0.1, "word_length": 2.0}
-#: Further slack of ratios that one repeated line moves far in a short text: this much at LEAST_WORDS
-#: words, less with the root of the number of words.
-SHORT = {"dup_line_ratio": 0.6, "repeat_ratio": 0.6}
-SPREADS = 4.0
-RELATIVE = 0.01
+MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalpha())
+RULES = ["mark_share", "symbol_ratio", "word_length", "dup_line_ratio", "repeat_ratio"]
+SPREADS, TAIL = 5.0, 3.0
+#: Standard deviation of the length of a word, in letters.
+LETTERS = 2.5
+#: Words of one window said twice.
+ONE_REPEAT = 6
+#: Of quantiles.
+RELATIVE = 0.001
 LEAST = 100
 #: Rows of thresholds that may be broadcast; beyond, rows and thresholds are joined by salted shuffling.
 MOST_BROADCAST = 50_000
@@ -46,8 +59,8 @@ _GROWTH = math.log((1 + RELATIVE) / (1 - RELATIVE))
 _SPACES = b" \t\n\v\f\r"
 
 
-def counts(text: bytes) -> tuple[int, int, int, int, int, int]:
-    """COUNTS of one text and its number of lines with a word."""
+def counts(text: bytes) -> tuple[int, ...]:
+    """COUNTS of one text, its number of lines with a word, and of marks."""
     words = text.split()  # bytes part at exactly the six characters
     n = len(words)
     chars = sum(map(len, words))
@@ -64,35 +77,48 @@ def counts(text: bytes) -> tuple[int, int, int, int, int, int]:
                 if times[three] > 1:
                     repeated += i + 3 - max(i, end)
                     end = i + 3
-    return n, chars, symbols, len(lines) - len(set(lines)), repeated, len(lines)
+    return n, chars, symbols, len(lines) - len(set(lines)), repeated, len(lines), len(text) - len(text.translate(None, MARKS))
 
 
 def measure(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of ``docs`` with COUNTS and n_lines."""
+    """The columns ``keep`` of ``docs`` with COUNTS, n_lines and n_marks."""
     bounded_batches(docs.sparkSession)
     schema = docs.select(*keep).schema
-    for c in [*COUNTS, "n_lines"]:
+    for c in [*COUNTS, "n_lines", "n_marks"]:
         schema = schema.add(c, "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [counts(t or b"") for t in batch.column("_bytes").to_pylist()]
             own = [batch.column(c) for c in keep]
-            yield pa.RecordBatch.from_arrays(own + [pa.array([x[i] for x in found], pa.int64()) for i in range(6)], names=schema.names)
+            yield pa.RecordBatch.from_arrays(own + [pa.array([x[i] for x in found], pa.int64()) for i in range(len(COUNTS) + 2)], names=schema.names)
 
     return docs.select(*keep, F.col("text").cast("binary").alias("_bytes")).mapInArrow(run, schema)
 
 
+def _at_least_one(column: str) -> Column:
+    return F.greatest(column, F.lit(1))
+
+
 def _ratios() -> dict[str, Column]:
-    words, lines = F.greatest("n_words", F.lit(1)), F.greatest("n_lines", F.lit(1))
+    words, lines = _at_least_one("n_words"), _at_least_one("n_lines")
     return {
+        "mark_share": F.col("n_marks") / _at_least_one("word_chars"),
         "symbol_ratio": F.col("n_symbols") / words,
+        "word_length": F.col("word_chars") / words,
         "dup_line_ratio": F.col("n_dup_lines") / lines,
         "repeat_ratio": F.col("n_repeat_words") / words,
-        "word_length": F.col("word_chars") / words,
     }
 
 
+def _noise(rule: str, mid: Column) -> Column:
+    """How far chance moves a ratio of a document of its length from ``mid``: counts vary with their root, and by one at least."""
+    if rule == "word_length":
+        return F.lit(LETTERS) / F.sqrt(_at_least_one("n_words"))
+    of = _at_least_one("word_chars" if rule == "mark_share" else "n_words")
+    return F.sqrt(mid / of) + 1.0 / of
+
+
 def base_failed() -> Column:
     return (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MOST_REPEATED)
 
@@ -111,27 +137,41 @@ def sketch(measured: DataFrame) -> DataFrame:
     return own.select(_level().alias("g"), "rule", "bucket", "n").groupBy("g.level", "g.g_lang", "g.g_source", "rule", "bucket").agg(F.sum("n").alias("n"))
 
 
+#: What a group's fences are made of: medians, distances to the quartiles, and fences in the tail.
+LIMITS = ["mark_share_mid", "mark_share_up", "symbol_ratio_mid", "symbol_ratio_up", "word_length_mid", "word_length_down", "word_length_up", "dup_line_ratio_tail", "repeat_ratio_tail"]
+
+
 def thresholds(sketches: DataFrame) -> DataFrame:
-    """level, g_lang, g_source, members and a low and high fence for each rule."""
+    """level, g_lang, g_source, members and LIMITS."""
     group = Window.partitionBy("level", "g_lang", "g_source", "rule")
     ranked = sketches.withColumn("_to", F.sum("n").over(group.orderBy("bucket"))).withColumn("_of", F.sum("n").over(group))
     value = F.when(F.col("bucket") == -(1 << 20), 0.0).otherwise(2 * F.exp(F.col("bucket") * F.lit(_GROWTH)) / F.lit(1 + math.exp(_GROWTH)))
-    at = [F.min(F.when(F.col("_to") >= F.col("_of") * q, value)).alias(f"_q{i}") for i, q in enumerate((0.25, 0.5, 0.75))]
-    quartiles = ranked.groupBy("level", "g_lang", "g_source", "rule").agg(F.max("_of").alias("members"), *at)
-    slack = F.element_at(F.create_map(*(F.lit(x) for pair in SLACK.items() for x in pair)), F.col("rule"))
-    fences = quartiles.select(
-        "level", "g_lang", "g_source", "rule", "members",
-        (F.col("_q1") - SPREADS * (F.col("_q1") - F.col("_q0")) - slack).alias("low"),
-        (F.col("_q1") + SPREADS * (F.col("_q2") - F.col("_q1")) + slack).alias("high"),
-    )
-    by_rule = [F.max(F.when(F.col("rule") == r, F.col(side))).alias(f"{r}_{side}") for r in SLACK for side in ("low", "high")]
-    return fences.groupBy("level", "g_lang", "g_source").agg(F.max("members").alias("members"), *by_rule)
+    at = [F.min(F.when(F.col("_to") >= F.col("_of") * q, value)).alias(f"_q{i}") for i, q in enumerate((0.25, 0.5, 0.75, 0.95))]
+    found = ranked.groupBy("level", "g_lang", "g_source", "rule").agg(F.max("_of").alias("members"), *at)
+    parts = {"mid": F.col("_q1"), "down": F.col("_q1") - F.col("_q0"), "up": F.col("_q2") - F.col("_q1"), "tail": F.col("_q3") + TAIL * (F.col("_q3") - F.col("_q1"))}
+    limits = [F.max(F.when(F.col("rule") == c.rsplit("_", 1)[0], parts[c.rsplit("_", 1)[1]])).alias(c) for c in LIMITS]
+    return found.groupBy("level", "g_lang", "g_source").agg(F.max("members").alias("members"), *limits)
+
+
+def _outlier(of: str) -> list[Column]:
+    """By which rules a document lies beyond the fences whose columns begin with ``of``."""
+    ratios = _ratios()
+    limit = lambda name: F.col(f"{of}_{name}")
+
+    def beyond(rule: str, side: str) -> Column:
+        away = ratios[rule] - limit(f"{rule}_mid")
+        return (away if side == "up" else -away) > SPREADS * F.greatest(limit(f"{rule}_{side}"), _noise(rule, limit(f"{rule}_mid")))
+
+    marks = beyond("mark_share", "up") & beyond("symbol_ratio", "up")
+    length = beyond("word_length", "up") | beyond("word_length", "down")
+    lines = F.col("n_dup_lines") > limit("dup_line_ratio_tail") * F.col("n_lines") + 1
+    repeats = F.col("n_repeat_words") > limit("repeat_ratio_tail") * F.col("n_words") + ONE_REPEAT
+    return [marks, length, lines, repeats]
 
 
 def judge(measured: DataFrame, fences: DataFrame) -> DataFrame:
     """``measured`` with base_failed, kept and the level of the fences that decided."""
     fences = written(fences, "quality-fences")
-    limits = [f"{r}_{side}" for r in SLACK for side in ("low", "high")]
     tagged = measured
     # A key for nulls keeps a null language apart from the language "".
     key = F.concat_ws("\x1f", F.coalesce(F.concat(F.lit("="), "lang"), F.lit("-")), F.coalesce(F.concat(F.lit("="), "source"), F.lit("-")))
@@ -142,19 +182,18 @@ def judge(measured: DataFrame, fences: DataFrame) -> DataFrame:
     picked = f.select(
         F.col("f.g_lang").alias("lang"), F.col("f.g_source").alias("source"),
         F.expr(f"CASE WHEN f.members >= {LEAST} THEN 0 WHEN l.members >= {LEAST} THEN 1 ELSE 2 END").alias("fence_level"),
-        *(F.expr(f"CASE WHEN f.members >= {LEAST} THEN f.{c} WHEN l.members >= {LEAST} THEN l.{c} ELSE w.{c} END").alias(c) for c in limits),
-    ).select(key.alias("_key"), "fence_level", *limits)
+        *(F.expr(f"CASE WHEN f.members >= {LEAST} THEN f.{c} WHEN l.members >= {LEAST} THEN l.{c} ELSE w.{c} END").alias(f"own_{c}") for c in LIMITS),
+        *(F.expr(f"CASE WHEN l.members >= {LEAST} THEN l.{c} ELSE w.{c} END").alias(f"wide_{c}") for c in LIMITS),
+    ).select(key.alias("_key"), "fence_level", *(f"{of}_{c}" for of in ("own", "wide") for c in LIMITS))
     if _small(own):
         joined = tagged.withColumn("_key", key).join(F.broadcast(picked), "_key", "left")
     else:
         salted = picked.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         joined = tagged.withColumn("_key", key).withColumn("_salt", F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(SALTS)).cast("int")).join(salted, ["_key", "_salt"], "left").drop("_salt")
-    inside = F.lit(True)
-    for rule, ratio in _ratios().items():
-        inside &= ratio <= F.col(f"{rule}_high") + SHORT.get(rule, 0.0) * F.sqrt(LEAST_WORDS / F.greatest("n_words", F.lit(1)))
-        if rule == "word_length":
-            inside &= ratio >= F.col(f"{rule}_low")
-    return joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True))).drop("_key", *limits)
+    # Each rule by itself: beyond the fence of the group and of the language.
+    out = reduce(operator.or_, (a & b for a, b in zip(_outlier("own"), _outlier("wide"), strict=True)))
+    judged = joined.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & ~F.coalesce(out, F.lit(False)))
+    return judged.drop("_key", *(f"{of}_{c}" for of in ("own", "wide") for c in LIMITS))
 
 
 def _small(fences: DataFrame) -> bool:

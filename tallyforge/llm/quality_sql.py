@@ -2,31 +2,47 @@
 
 from __future__ import annotations
 
-from .quality import _GROWTH, LEAST, LEAST_WORDS, MOST_REPEATED, SHORT, SLACK, SPREADS
+from .quality import _GROWTH, LEAST, LEAST_WORDS, LETTERS, LIMITS, MOST_REPEATED, ONE_REPEAT, RULES, SPREADS, TAIL
 
 _SPACE = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]"
+_MARK = r"[\x21-\x40\x5B-\x60\x7B-\x7E]"
 _VALUE = f"CASE WHEN bucket = -1048576 THEN 0.0 ELSE 2 * exp(bucket * CAST({_GROWTH!r} AS DOUBLE)) / (1 + exp(CAST({_GROWTH!r} AS DOUBLE))) END"
+_QUANTILES = ", ".join(f"min({_VALUE}) FILTER (upto >= total * {q}) AS q{i}" for i, q in enumerate((0.25, 0.5, 0.75, 0.95)))
+_PARTS = {"mid": "q1", "down": "q1 - q0", "up": "q2 - q1"}
 
 
 def _double(x: float) -> str:
     return f"CAST({x!r} AS DOUBLE)"
 
 
-def _slack() -> str:
-    return "CASE rule " + " ".join(f"WHEN '{r}' THEN {_double(v)}" for r, v in SLACK.items()) + " END"
+def _limits() -> str:
+    parts = _PARTS | {"tail": f"q3 + {_double(TAIL)} * (q3 - q1)"}
+    return ", ".join(f"max({parts[part]}) FILTER (rule = '{rule}') AS {rule}_{part}" for rule, part in (c.rsplit("_", 1) for c in LIMITS))
 
 
-def _inside() -> str:
-    tests = []
-    for rule in SLACK:
-        more = f" + {_double(SHORT[rule])} * sqrt(CAST({LEAST_WORDS} AS DOUBLE) / greatest(n_words, 1))" if rule in SHORT else ""
-        tests.append(f"{rule} <= {rule}_high{more}")
-    return " AND ".join([*tests, "word_length >= word_length_low"])
+def _picked() -> str:
+    own = (f"CASE WHEN a.members >= {LEAST} THEN a.{c} WHEN b.members >= {LEAST} THEN b.{c} ELSE z.{c} END AS own_{c}" for c in LIMITS)
+    wide = (f"CASE WHEN b.members >= {LEAST} THEN b.{c} ELSE z.{c} END AS wide_{c}" for c in LIMITS)
+    return ", ".join([*own, *wide])
 
 
-def _pivot() -> str:
-    return ", ".join(f"max({side}) FILTER (rule = '{rule}') AS {rule}_{side}" for rule in SLACK for side in ("low", "high"))
+def _beyond(of: str, rule: str, side: str) -> str:
+    mid = f"{of}_{rule}_mid"
+    chars = "greatest(word_chars, 1)" if rule == "mark_share" else "greatest(n_words, 1)"
+    noise = f"{_double(LETTERS)} / sqrt(CAST(greatest(n_words, 1) AS DOUBLE))" if rule == "word_length" else f"sqrt({mid} / {chars}) + CAST(1 AS DOUBLE) / {chars}"
+    away = f"{rule} - {mid}" if side == "up" else f"-({rule} - {mid})"
+    return f"{away} > {_double(SPREADS)} * greatest({of}_{rule}_{side}, {noise})"
+
+
+def _outlier() -> str:
+    rules = lambda of: (
+        f"({_beyond(of, 'mark_share', 'up')}) AND ({_beyond(of, 'symbol_ratio', 'up')})",
+        f"({_beyond(of, 'word_length', 'up')}) OR ({_beyond(of, 'word_length', 'down')})",
+        f"n_dup_lines > {of}_dup_line_ratio_tail * n_lines + 1",
+        f"n_repeat_words > {of}_repeat_ratio_tail * n_words + {ONE_REPEAT}",
+    )
+    return " OR ".join(f"(({a}) AND ({b}))" for a, b in zip(rules("own"), rules("wide"), strict=True))
 
 
 SQL = f"""
@@ -40,31 +56,27 @@ again AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY d
 repeats AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM again, (VALUES (0), (1), (2)) AS s(k) GROUP BY doc_id),
 c AS (
   SELECT w.doc_id, lang, source, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '{_SPACE}', '', 'g')) AS BIGINT) AS word_chars,
-    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, length(text) - length(regexp_replace(text, '{_MARK}', '', 'g')) AS n_marks,
     CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, coalesce(repeats.n, 0) AS n_repeat_words, len(ls) AS n_lines
   FROM w LEFT JOIN repeats ON repeats.doc_id = w.doc_id),
 m AS (
-  SELECT *, CAST(n_symbols AS DOUBLE) / greatest(n_words, 1) AS symbol_ratio, CAST(n_dup_lines AS DOUBLE) / greatest(n_lines, 1) AS dup_line_ratio,
+  SELECT *, CAST(n_marks AS DOUBLE) / greatest(word_chars, 1) AS mark_share, CAST(n_symbols AS DOUBLE) / greatest(n_words, 1) AS symbol_ratio, CAST(n_dup_lines AS DOUBLE) / greatest(n_lines, 1) AS dup_line_ratio,
     CAST(n_repeat_words AS DOUBLE) / greatest(n_words, 1) AS repeat_ratio, CAST(word_chars AS DOUBLE) / greatest(n_words, 1) AS word_length,
     coalesce('=' || lang, '-') || chr(31) || coalesce('=' || source, '-') AS own, coalesce('=' || lang, '-') AS of_lang FROM c),
 v AS (
   SELECT own, of_lang, rule, CASE WHEN value > 0 THEN CAST(ceil(ln(value) / {_double(_GROWTH)}) AS INTEGER) ELSE -1048576 END AS bucket
-  FROM (SELECT own, of_lang, unnest([{', '.join(f"'{r}'" for r in SLACK)}]) AS rule, unnest([{', '.join(SLACK)}]) AS value FROM m)),
+  FROM (SELECT own, of_lang, unnest([{', '.join(f"'{r}'" for r in RULES)}]) AS rule, unnest([{', '.join(RULES)}]) AS value FROM m)),
 s AS (
   SELECT 0 AS level, own AS g, rule, bucket, count(*) AS n FROM v GROUP BY ALL
   UNION ALL SELECT 1, of_lang, rule, bucket, count(*) FROM v GROUP BY ALL
   UNION ALL SELECT 2, '', rule, bucket, count(*) FROM v GROUP BY ALL),
 r AS (SELECT *, sum(n) OVER (PARTITION BY level, g, rule ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY level, g, rule) AS total FROM s),
-q AS (
-  SELECT level, g, rule, max(total) AS members, min({_VALUE}) FILTER (upto >= total * 0.25) AS q0, min({_VALUE}) FILTER (upto >= total * 0.5) AS q1, min({_VALUE}) FILTER (upto >= total * 0.75) AS q2
-  FROM r GROUP BY level, g, rule),
-f AS (SELECT level, g, rule, members, q1 - {_double(SPREADS)} * (q1 - q0) - {_slack()} AS low, q1 + {_double(SPREADS)} * (q2 - q1) + {_slack()} AS high FROM q),
-picked AS (
-  SELECT a.g AS own, a.rule, CASE WHEN a.members >= {LEAST} THEN 0 WHEN b.members >= {LEAST} THEN 1 ELSE 2 END AS fence_level,
-    CASE WHEN a.members >= {LEAST} THEN a.low WHEN b.members >= {LEAST} THEN b.low ELSE z.low END AS low, CASE WHEN a.members >= {LEAST} THEN a.high WHEN b.members >= {LEAST} THEN b.high ELSE z.high END AS high
-  FROM f a JOIN f b ON b.level = 1 AND b.g = string_split(a.g, chr(31))[1] AND b.rule = a.rule JOIN f z ON z.level = 2 AND z.rule = a.rule WHERE a.level = 0),
-fences AS (SELECT own, max(fence_level) AS fence_level, {_pivot()} FROM picked GROUP BY own)
+q AS (SELECT level, g, rule, max(total) AS n, {_QUANTILES} FROM r GROUP BY level, g, rule),
+f AS (SELECT level, g, max(n) AS members, {_limits()} FROM q GROUP BY level, g),
+fences AS (
+  SELECT a.g AS own, CASE WHEN a.members >= {LEAST} THEN 0 WHEN b.members >= {LEAST} THEN 1 ELSE 2 END AS fence_level, {_picked()}
+  FROM f a JOIN f b ON b.level = 1 AND b.g = string_split(a.g, chr(31))[1] JOIN f z ON z.level = 2 WHERE a.level = 0)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words AS base_failed,
-  NOT (n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words) AND {_inside()} AS kept, fence_level
+  NOT (n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MOST_REPEATED} * n_words) AND NOT ({_outlier()}) AS kept, fence_level
 FROM m JOIN fences USING (own)"""

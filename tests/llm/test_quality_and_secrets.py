@@ -87,9 +87,34 @@ def test_sketch_quantiles(spark):
     df = frame(spark, [(i, " ".join(["x" * (1 + (i * j) % 9) for j in range(1, 60)]), "en", "a") for i in range(400)])
     measured = quality.measure(df, ["doc_id", "lang", "source"])
     fences = quality.thresholds(quality.sketch(measured)).filter("level = 0").first()
-    exact = measured.select((F.col("word_chars") / F.col("n_words")).alias("x")).agg(F.percentile("x", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))).first()[0]
-    high = exact[1] + quality.SPREADS * (exact[2] - exact[1]) + quality.SLACK["word_length"]
-    assert fences.members == 400 and abs(fences.word_length_high - high) < 0.3
+    low, mid, high = measured.select((F.col("word_chars") / F.col("n_words")).alias("x")).agg(F.percentile("x", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))).first()[0]
+    assert fences.members == 400
+    assert abs(fences.word_length_mid - mid) < 0.01 and abs(fences.word_length_up - (high - mid)) < 0.02 and abs(fences.word_length_down - (mid - low)) < 0.02
+
+
+def prose(rng, marks, n=300):
+    """Words of three to seven letters; ``marks`` of them end in a mark, one in two of those in a symbol."""
+    return " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 7))) + (rng.choice(",#") if rng.random() < marks else "") for _ in range(n))
+
+
+def test_fences_adapt_to_the_group(spark):
+    # One source writes with many symbols; the same text is ordinary there and an outlier in another source.
+    rng = random.Random(8)
+    rows = [(i, prose(rng, 0.3 if i % 2 else 0.02), "en", "code" if i % 2 else "news") for i in range(400)]
+    rows += [(1000, prose(rng, 0.3), "xx", "code"), (1001, prose(rng, 0.3), "en", "code")]
+    plain = [(2000 + i, prose(rng, 0.02), "de", "news") for i in range(300)] + [(3000, prose(rng, 0.3), "de", "news")]
+    got = {r.doc_id: r for r in quality.quality(frame(spark, rows + plain)).collect()}
+    assert all(r.kept for i, r in got.items() if i != 3000)
+    assert not got[3000].kept and not got[3000].base_failed and got[3000].fence_level == 0
+
+
+def test_copies_and_junk_do_not_condemn_the_rest(spark):
+    rng = random.Random(9)
+    copy, junk = prose(rng, 0.02), " ".join("§" * 30 + "#$%" for _ in range(100))
+    rows = [(i, copy, "en", "a") for i in range(900)] + [(1000 + i, prose(rng, 0.02, 60 + i), "en", "a") for i in range(300)]
+    rows += [(2000 + i, junk + str(i), "en", "b") for i in range(300)] + [(3000 + i, prose(rng, 0.02), "en", "b") for i in range(100)]
+    got = {r.doc_id: r for r in quality.quality(frame(spark, rows)).collect()}
+    assert all(r.kept for i, r in got.items() if not 2000 <= i < 3000)
 
 
 def test_keep_good(spark):
