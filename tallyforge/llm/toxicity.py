@@ -2,11 +2,13 @@
 
 A word's input joins its word vector and the sum of the vectors of its character n-grams, so unseen
 forms of a known stem are recognised.  The network reads windows of WINDOW words that overlap by half;
-a document's score is that of its most toxic window, calibrated on the sample it was fitted to.
+a document's score is that of its most toxic window, calibrated.
 
-Labels hold for documents, not windows.  Fitting starts from windows with the most evidence (log odds
-of words and n-grams in the sample), then repeatedly lets the network pick each document's strongest
-window and learns from that one and, for clean documents, from random others too.
+Labels hold for documents, not windows.  Nothing but the labels guides the fitting: the network learns from
+any window of a document for WARM epochs, then repeatedly picks each document's strongest window and learns
+from that one and, for clean documents, from random others too.  Words and n-grams that hardly any document
+uses stay zero, the weights are the mean of the last epochs, and scores are calibrated on documents of the
+sample that were not learned from.
 
 Bounds: fitting uses at most FIT_ROWS documents of each label, of at most FIT_BYTES bytes each, in the
 order of a hash of doc_id; rows whose crc32(doc_id as text) mod 4 is HELD_OUT are never used.  Scoring
@@ -36,16 +38,18 @@ WORD_DIM, GRAM_DIM, HIDDEN, ATTENTION = 6, 10, 8, 8
 GRAMS = (3, 4, 5)
 HELD_OUT = 2
 FIT_ROWS, FIT_BYTES = 1200, 20_000
-EPOCHS, BATCH, RATE = 5, 96, 0.01
+EPOCHS, BATCH, RATE = 12, 96, 0.02
+#: Epochs that learn from any window of a document, before they learn from its strongest.
+WARM = 3
 #: Small samples go through more epochs, so that there are so many steps at least.
 LEAST_STEPS = 300
-#: The tables learn this much slower than the network; what few documents show stays near the evidence.
-TABLE_RATE = 0.02
-#: Of the G test of a word or n-gram.
-LEAST_G = 18.0
-PREDICTED = 0.3
+#: Bounds of the number of documents that must use a row of a table.
+LEAST_DOCUMENTS = 5, 20
 #: Documents whose n-grams are counted at a time.
 COUNTED = 200
+#: One document in so many is kept for calibration, of labels with at least so many documents.
+CALIBRATED, LEAST_APART = 5, 50
+PREDICTED = 0.3
 #: Texts are scored so many bytes at a time.
 SCORED_BYTES = 4 << 20
 _DROPPED = b".,;:!?\"()[]{}"
@@ -234,29 +238,29 @@ def _strongest(values: np.ndarray, of: np.ndarray, texts: int) -> tuple[np.ndarr
     return values[order[last]], order[last]
 
 
-def _log_odds(words: Words, number: np.ndarray, of: np.ndarray, label: np.ndarray, grams: bool) -> np.ndarray:
-    """Log odds of a table's rows by the documents that hold them; 0 unless a G test finds them toxic."""
-    size, n1 = GRAM_ROWS if grams else WORD_ROWS, float(label.sum())
-    n0 = len(label) - n1
-    pair = np.unique(of * len(words.row) + number)
-    of, number = np.divmod(pair, max(1, len(words.row)))
-    held = np.zeros((2, size))
-    for begin in range(0, len(label), COUNTED):  # some documents at a time bound the memory
-        own = slice(*np.searchsorted(of, (begin, begin + COUNTED)))
-        doc, num = of[own], number[own]
+def _frequent(words: Words, windows: np.ndarray, of: np.ndarray, size: int, grams: bool) -> np.ndarray:
+    """Whether each row of a table is used by one document in a hundred, within LEAST_DOCUMENTS."""
+    at, slot = np.nonzero(windows >= 0)
+    pair = np.unique(of[at] * len(words.row) + windows[at, slot])
+    doc, number = np.divmod(pair, max(1, len(words.row)))
+    held = np.zeros(size, np.int64)
+    for begin in range(0, int(of[-1]) + 1 if len(of) else 0, COUNTED):  # some documents at a time bound the memory
+        own = slice(*np.searchsorted(doc, (begin, begin + COUNTED)))
         if grams:
-            rows, doc = words.gram[ragged(words.first[num], words.grams[num])], np.repeat(doc, words.grams[num])
+            rows, docs = words.gram[ragged(words.first[number[own]], words.grams[number[own]])], np.repeat(doc[own], words.grams[number[own]])
         else:
-            rows = words.row[num]
-        doc, rows = np.divmod(np.unique(doc * size + rows), size)
-        for kind in (0, 1):
-            held[kind] += np.bincount(rows[label[doc] == kind], minlength=size)
-    k0, k1 = held
-    share = (k1 + k0) / (n1 + n0)
-    part = lambda k, e: k * np.log(np.maximum(k, 1e-9) / np.maximum(e, 1e-9))
-    g = 2 * (part(k1, n1 * share) + part(k0, n0 * share) + part(n1 - k1, n1 * (1 - share)) + part(n0 - k0, n0 * (1 - share)))
-    odds = np.log((k1 + 0.5) / (n1 + 1)) - np.log((k0 + 0.5) / (n0 + 1))
-    return np.where((g >= LEAST_G) & (odds > 0), np.clip(odds, 0, 6), 0).astype(np.float32)
+            rows, docs = words.row[number[own]], doc[own]
+        held += np.bincount(np.unique(docs * size + rows) % size, minlength=size)
+    return held >= np.clip((int(of[-1]) + 1) // 100 if len(of) else 0, *LEAST_DOCUMENTS)
+
+
+def _part(words: Words, numbers: np.ndarray) -> Words:
+    """The words of these numbers alone."""
+    out = Words.__new__(Words)
+    out.row, out.grams = words.row[numbers], words.grams[numbers]
+    out.gram, out.gram_of = words.gram[ragged(words.first[numbers], out.grams)], np.repeat(np.arange(len(numbers)), out.grams)
+    out.first = np.cumsum(out.grams) - out.grams
+    return out
 
 
 def fit(texts: list[bytes], label: np.ndarray, odds: float | None = None, seed: int = 7) -> Network:
@@ -267,51 +271,56 @@ def fit(texts: list[bytes], label: np.ndarray, odds: float | None = None, seed:
     label = label.astype(np.float32)
     rng, net = np.random.default_rng(seed), Network(seed)
     words, windows, of = read(texts)
-    # Evidence: what stands in toxic documents far more than in clean ones.
-    at, slot = np.nonzero(windows >= 0)
-    number = windows[at, slot]
-    word_odds, gram_odds = (_log_odds(words, number, of[at], label, grams) for grams in (False, True))
-    strength = np.maximum(word_odds[words.row], words.summed(gram_odds[:, None])[:, 0])
-    strength = np.append(strength, 0)
-    net.p["word"][:, 0], net.p["gram"][:, 0] = word_odds / 3, gram_odds / 3
-    value = np.sort(strength[windows], axis=1)[:, -3:].sum(axis=1)
+    # One document in CALIBRATED of either label is kept for the scale of the scores, if there are enough.
+    apart = np.zeros(len(texts), bool)
+    for kind in (0, 1):
+        own = rng.permutation(np.flatnonzero(label == kind))
+        apart[own[: len(own) // CALIBRATED if len(own) >= LEAST_APART else 0]] = True
+    learned = np.flatnonzero(~apart)
+    toxic, clean = learned[label[learned] > 0], np.flatnonzero((label[of] == 0) & ~apart[of])
+    first, last = np.searchsorted(of, np.arange(len(texts))), np.searchsorted(of, np.arange(len(texts)), side="right")
+
+    # What few documents show would be learned by heart: its rows of the tables stay zero.
+    used = {"word": _frequent(words, windows, of, WORD_ROWS, False)[:, None], "gram": _frequent(words, windows, of, GRAM_ROWS, True)[:, None]}
+    for k, rows in used.items():
+        net.p[k] *= rows
 
     state = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
-    step = 0
-    clean = np.flatnonzero(label[of] == 0)
-    toxic = np.flatnonzero(label > 0)
-    size = 2 * (2 * len(texts) - len(toxic))
+    mean, averaged, step = None, 0, 0
+    size = 2 * (2 * len(learned) - len(toxic))
     epochs = max(EPOCHS, -(-LEAST_STEPS * BATCH // size))
     for epoch in range(epochs):
-        picked = _strongest(value, of, len(texts))[1]
-        more = rng.choice(clean, min(len(clean), len(texts)), replace=False)
+        if epoch * EPOCHS < WARM * epochs:  # any window, until the network can tell which one counts
+            picked = rng.integers(first, last)
+        elif epoch * EPOCHS // epochs != (epoch - 1) * EPOCHS // epochs:
+            picked = _strongest(net.logits(words, windows), of, len(texts))[1]
+        more = rng.choice(clean, min(len(clean), len(learned)), replace=False)
         # As many toxic windows as clean ones.
-        again = rng.choice(toxic, len(more) + len(texts) - 2 * len(toxic)) if len(more) + len(texts) > 2 * len(toxic) else toxic[:0]
-        train = rng.permutation(np.concatenate((picked, more, picked[again])))
+        short = len(more) + len(learned) - 2 * len(toxic)
+        again = rng.choice(toxic, short) if short > 0 else toxic[:0]
+        train = rng.permutation(np.concatenate((picked[learned], more, picked[again])))
         for i in range(0, len(train), BATCH):
             part = train[i : i + BATCH]
             own, back = np.unique(windows[part], return_inverse=True)
-            back = back.reshape(len(part), -1)
-            local = Words.__new__(Words)
-            first = int(len(own) and own[0] == -1)
-            chosen = own[first:]
-            local.row, local.grams = words.row[chosen], words.grams[chosen]
-            each = ragged(words.first[chosen], local.grams)
-            local.gram, local.gram_of = words.gram[each], np.repeat(np.arange(len(chosen)), local.grams)
-            local.first = np.cumsum(local.grams) - local.grams
-            g = net.gradients(local, back - first, label[of[part]])
+            none = int(len(own) and own[0] == -1)
+            g = net.gradients(_part(words, own[none:]), back.reshape(len(part), -1) - none, label[of[part]])
             step += 1
             rate = RATE * min(1, step / 20) * (1 - 0.9 * epoch / epochs)
             for k, v in g.items():
+                if k in used:
+                    v *= used[k]
                 m, s = state[k]
                 m += 0.1 * (v - m)
                 s += 0.01 * (v * v - s)
-                net.p[k] -= (rate * (TABLE_RATE if k in ("word", "gram") else 1) * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
-        if epoch + 1 == epochs or epoch * EPOCHS // epochs != (epoch + 1) * EPOCHS // epochs:
-            value = net.logits(words, windows)
-    strongest = _strongest(value, of, len(texts))[0].astype(np.float64)
+                net.p[k] -= (rate * m / (1 - 0.9**step) / (np.sqrt(s / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
+        if epoch >= epochs - max(1, epochs // 3):  # the mean of the last epochs varies less
+            averaged += 1
+            mean = {k: v.copy() for k, v in net.p.items()} if mean is None else {k: mean[k] + (v - mean[k]) / averaged for k, v in net.p.items()}
+    net.p = {k: v.astype(np.float32) for k, v in mean.items()}
+    strongest = _strongest(net.logits(words, windows), of, len(texts))[0].astype(np.float64)
     net.none = float(strongest[label == 0].mean())
-    net.scale, net.shift = _calibrated(strongest, label.astype(np.float64))
+    told = apart if apart.any() else ~apart
+    net.scale, net.shift = _calibrated(strongest[told], label[told].astype(np.float64))
     if odds is not None:
         net.shift += float(np.log(odds * (len(label) - label.sum()) / label.sum()))
     return net
@@ -344,7 +353,7 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, most_bytes:
         docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("binary").alias("_text"))
         .filter(F.coalesce(F.octet_length("_text"), F.lit(0)) <= most_bytes)
         .join(F.broadcast(chosen.groupBy("_id").agg(F.max("_toxic").alias("_toxic"))), "_id")
-        .dropDuplicates(["_id"])
+        .groupBy("_id", "_toxic").agg(F.min("_text").alias("_text"))  # of rows that repeat a doc_id the least text
         .collect()
     )
     sample.sort(key=lambda r: r["_id"])

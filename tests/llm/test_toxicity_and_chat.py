@@ -1,4 +1,5 @@
 import json
+import math
 import random
 import zlib
 
@@ -61,6 +62,73 @@ def test_windows_overlap_and_cover():
         assert starts == ([-1] if n == 0 else list(range(0, max(n - 16, 1), 16)))
 
 
+def plain_score(net, text):
+    """The score by loops over windows, words and units, straight from the definition."""
+    sig = lambda x: 1 / (1 + math.exp(-x))
+    words = text.lower().translate(None, b".,;:!?\"()[]{}").split()
+    p = {k: v.astype(float).tolist() for k, v in net.p.items() if k not in ("word", "gram")}
+
+    def vector(word):
+        code = [ord(c) for c in f"<{word.decode('utf-8', 'replace')}>"]
+        grams = []
+        for n in (3, 4, 5):
+            for i in range(len(code) - n + 1):
+                h = 0
+                for c in code[i : i + n]:
+                    h = ((h ^ c) * 0x100000001B3 + n) % 2**64
+                grams.append((h ^ h >> 29) % toxicity.GRAM_ROWS)
+        summed = [sum(float(net.p["gram"][g, j]) for g in grams) / math.sqrt(len(grams)) if grams else 0.0 for j in range(toxicity.GRAM_DIM)]
+        return [float(v) for v in net.p["word"][zlib.crc32(word) % toxicity.WORD_ROWS]] + summed
+
+    def states(vectors, way):
+        w, u, b, size = p[f"w{way}"], p[f"u{way}"], p[f"b{way}"], toxicity.HIDDEN
+        h, out = [0.0] * size, []
+        for x in vectors:
+            g = [sum(x[i] * w[i][k] for i in range(len(x))) + b[k] for k in range(3 * size)]
+            hu = [sum(h[i] * u[i][k] for i in range(size)) for k in range(3 * size)]
+            z, r = ([sig(g[s * size + k] + hu[s * size + k]) for k in range(size)] for s in (0, 1))
+            c = [math.tanh(g[2 * size + k] + r[k] * hu[2 * size + k]) for k in range(size)]
+            h = [(1 - z[k]) * c[k] + z[k] * h[k] for k in range(size)]
+            out.append(h)
+        return out
+
+    logits = []
+    for start in range(0, max(1, len(words) - 16), 16):
+        vectors = [vector(w) for w in words[start : start + 32]]
+        if not vectors:
+            logits.append(net.none)
+            continue
+        both = [f + b for f, b in zip(states(vectors, "f"), states(vectors[::-1], "b")[::-1])]
+        weight = []
+        for h in both:
+            a = [math.tanh(sum(h[i] * p["wa"][i][k] for i in range(len(h))) + p["ba"][k]) for k in range(toxicity.ATTENTION)]
+            weight.append(math.exp(sum(x * y for x, y in zip(a, p["va"]))))
+        pooled = [sum(w * h[i] for w, h in zip(weight, both)) / sum(weight) for i in range(2 * toxicity.HIDDEN)]
+        logits.append(sum(x * y for x, y in zip(pooled, p["wo"])) + p["bo"][0])
+    return sig(net.scale * max(logits) + net.shift)
+
+
+def test_scores_against_plain_loops(spark):
+    net = toxicity.Network(5)
+    rng = np.random.default_rng(2)
+    for k, v in net.p.items():
+        net.p[k] = (v + rng.standard_normal(v.shape) * (0.5 if k in ("word", "gram") else 0.4)).astype(np.float32)
+    net.scale, net.shift, net.none = 1.7, -0.4, -0.9
+    texts = [t for _, t, _ in corpus(40, 3)] + ["", None, "Ünï, cödé! x", "a", " ".join(f"w{i}" for i in range(49))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for r in toxicity.score(docs, net).collect():
+        assert abs(r.score - plain_score(net, (texts[r.doc_id] or "").encode())) < 1e-5
+
+
+def test_repeated_ids_are_learned_alike(spark):
+    # Two texts of one doc_id: the least is learned from, whichever comes first.
+    rows = corpus(60)
+    labels = spark.createDataFrame([(i, x) for i, _, x in rows], "doc_id long, toxic int")
+    both = [(i, t) for i, t, _ in rows] + [(i, "zz other " + t) for i, t, _ in rows]
+    models = [toxicity.fitted(spark.createDataFrame(b, "doc_id long, text string").repartition(n), labels) for b, n in ((both, 1), (both[::-1], 5))]
+    assert all((models[0].p[k] == models[1].p[k]).all() for k in models[0].p)
+
+
 def test_a_long_text_scores_like_its_windows(monkeypatch):
     net = toxicity.Network(1)
     net.p["wo"] *= 5
