@@ -50,20 +50,20 @@ def parse_reply(reply: Column) -> Column:
 
 
 def read_with(crops: DataFrame, provider: Callable[[bytes], str], workers: int) -> DataFrame:
-    """path, content -> path, reply, latency_ms, err; at most ``workers`` requests at a time."""
+    """path, content -> path, reply, latency_ms, err, began (seconds since the epoch); at most ``workers`` requests at a time."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
             for path, content in zip(frame["path"], frame["content"]):
-                began = time.monotonic()
+                began, clock = time.time(), time.monotonic()
                 try:
-                    out.append((path, provider(content), (time.monotonic() - began) * 1000, None))
+                    out.append((path, provider(content), (time.monotonic() - clock) * 1000, None, began))
                 except Exception as e:  # noqa: BLE001  a failed read is that row's error
-                    out.append((path, None, None, f"read: {e}"))
-            yield pd.DataFrame(out, columns=["path", "reply", "latency_ms", "err"])
+                    out.append((path, None, None, f"read: {e}", began))
+            yield pd.DataFrame(out, columns=["path", "reply", "latency_ms", "err", "began"])
 
-    return crops.select("path", "content").repartition(workers).mapInPandas(run, "path string, reply string, latency_ms double, err string")
+    return crops.select("path", "content").repartition(workers).mapInPandas(run, "path string, reply string, latency_ms double, err string, began double")
 
 
 def read_from_table(crops: DataFrame, replies: DataFrame) -> DataFrame:
@@ -91,10 +91,16 @@ class HttpVision:
 
 @dataclass(frozen=True)
 class CommandOcr:
-    """Runs an OCR command on image bytes; its standard output is the reply."""
+    """Runs an OCR command on the bytes of a picture; its standard output is the reply."""
 
-    command: tuple[str, ...] = ("tesseract", "-", "stdout", "--psm", "3", "tsv")
+    command: tuple[str, ...] = ("tesseract", "-", "stdout")
     timeout: float = 180.0
 
-    def __call__(self, content: bytes) -> str:
-        return subprocess.run(self.command, input=content, capture_output=True, timeout=self.timeout, check=False).stdout.decode("utf-8", "replace")
+    def __call__(self, content: bytes, *more: str) -> str:
+        return subprocess.run([*self.command, *more], input=content, capture_output=True, timeout=self.timeout, check=False).stdout.decode("utf-8", "replace")
+
+    def text(self, content: bytes, psm: int) -> str:
+        return self(content, "--psm", str(psm))
+
+    def table(self, content: bytes, psm: int) -> str:
+        return self(content, "--psm", str(psm), "tsv")

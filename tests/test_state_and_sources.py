@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 from tallyforge import schema as S
 from tallyforge import telemetry
-from tallyforge.config import Config, Telemetry
+from tallyforge.config import Config, Telemetry, load
 from tallyforge.operators import stages, state, summary
 from tallyforge.plans import report
 from tallyforge.plans.run import Count
 from tallyforge.sources import files, images, ocr, providers, scan
 from tallyforge.streaming.watch import watch
+from tests.conftest import COUNT
 
-CFG = Config()
+CFG = load(COUNT, {})
 
 
 def rows(df):
@@ -163,10 +164,10 @@ def test_run_end_to_end(spark, tmp_path):
     count.mark(paths.select("path", F.when(dark, 0.9).otherwise(0.0).alias("oval_fill_score"), F.lit(0.0).alias("line_ink_score"), F.lit(None).cast("string").alias("err")), "/crops")
     assert {r["status"]: r["n"] for r in summary.counts_by(count.table("images"), "status").collect()} == {"marked": 12, "skip_blank": 10, "error": 2}
     assert rows(count.table("review").select("reason").distinct()) == [("unvalidated_region",)]
-    reply = F.when(F.col("path").contains("AB-1/"), '{"text": "Pencil", "oval": "filled", "confidence": 0.9}').otherwise('{"text": "Vote for one", "oval": "empty", "confidence": 0.9}')
+    reply = F.when(F.col("path").contains("AB-1/"), '{"text": "Marker", "oval": "filled", "confidence": 0.9}').otherwise('{"text": "Vote for one", "oval": "empty", "confidence": 0.9}')
     count.read(paths.select("path", reply.alias("reply"), F.lit(None).cast("string").alias("err")))
     count.match(min_count=4)
-    assert {r["match"]: r["quarantined"] for r in count.table("results").filter("match IS NOT NULL").collect()} == {"pencil": 0, "not_pencil": 1}
+    assert {r["match"]: r["quarantined"] for r in count.table("results").filter("match IS NOT NULL").collect()} == {"marker": 0, "not_marker": 1}
     assert rows(count.table("review").select("reason").distinct()) == [("mislocated_region",)]
     before = rows(count.table("results").drop("updated_at"))
     count.match(rescore=True, min_count=4)
@@ -174,16 +175,16 @@ def test_run_end_to_end(spark, tmp_path):
     official = spark.createDataFrame([("Democratic", 6)], "party string, official long")
     assert count.check(official)
     found = report.collect(count, official, spark.createDataFrame([("AB-1",), ("AB-2",), ("AB-3",)], "box string"))
-    assert found["summary"]["target_total"] == 6 and found["coverage"]["missing"] == 1 and [t["name"] for t in found["tally"]] == ["pencil"]
+    assert found["summary"]["target_total"] == 6 and found["coverage"]["missing"] == 1 and [t["name"] for t in found["tally"]] == ["marker"]
     page = report.render(found, "Count <1>")
-    assert "Count &lt;1&gt;" in page and "Pencil" in page and json.loads(report.manifest(found))["summary"]["images_total"] == 24
+    assert "Count &lt;1&gt;" in page and "Marker" in page and json.loads(report.manifest(found))["summary"]["images_total"] == 24
     files.write_tables(count.table("results"), count.table("review"), str(tmp_path / "out"))
     assert spark.read.option("header", True).csv(str(tmp_path / "out/results.csv")).count() == count.table("results").count()
 
 
 def test_manifest_has_the_whole_tally(spark, tmp_path):
     # 45 names with 60 to 16 votes, and the target below them all with 12.
-    votes = {f"name {i:02d}": 60 - i for i in range(45)} | {"pencil": 12}
+    votes = {f"name {i:02d}": 60 - i for i in range(45)} | {"marker": 12}
     reads = [(f"/r/{n}/{i}", n, "Democratic" if i % 2 else "Republican") for n, k in votes.items() for i in range(k)]
     given = spark.createDataFrame(reads, "path string, candidate string, party string")
     count = Count(spark, str(tmp_path / "state"), CFG)
@@ -198,7 +199,7 @@ def test_manifest_has_the_whole_tally(spark, tmp_path):
     assert [(t["name"], t["total"]) for t in written["candidate_tally"]] == list(votes.items())
     assert written["candidate_tally"][-1]["by_party"] == {"Democratic": 6, "Republican": 6}
     page = report.render(found, "t")
-    assert "<h3>Pencil: 12</h3>" in page and page.count("<td>Name ") == 40 and "6 further names" in page
+    assert "<h3>Marker: 12</h3>" in page and page.count("<td>Name ") == 40 and "6 further names" in page
 
 
 def test_marking_writes_crops(spark, tmp_path):
