@@ -26,15 +26,40 @@ def ratio_of(a: str, b: str) -> float:
     return SequenceMatcher(None, a, b).ratio()
 
 
+class Matchers:
+    """Ratios to few second texts: what the library prepares of a second text is kept."""
+
+    def __init__(self):
+        self.known: dict[str, SequenceMatcher] = {}
+
+    def best(self, many, b: str) -> float | None:
+        """The greatest ratio of any of the texts to ``b``; texts whose upper bounds stay below it are not compared."""
+        if (m := self.known.get(b)) is None:
+            m = self.known[b] = SequenceMatcher(None, "", b)
+        best = None
+        for a in many:
+            m.set_seq1(a)
+            if best is None or m.real_quick_ratio() > best and m.quick_ratio() > best:
+                best = max(m.ratio(), best or 0.0)
+        return best
+
+
 @F.pandas_udf(DoubleType())
 def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([None if x is None or y is None else ratio_of(x, y) for x, y in zip(a, b)])
+    matchers = Matchers()
+    return pd.Series([None if x is None or y is None else matchers.best([x], y) for x, y in zip(a, b)], dtype="float64")
 
 
 @F.pandas_udf(DoubleType())
 def best_ratio(many: pd.Series, b: pd.Series) -> pd.Series:
     """The greatest ratio of any of the texts to ``b``; null for none."""
-    return pd.Series([max((ratio_of(x, y) for x in xs), default=None) for xs, y in zip(many, b)])
+    matchers = Matchers()
+    return pd.Series([matchers.best(xs, y) for xs, y in zip(many, b)], dtype="float64")
+
+
+def reachable(a: Column, b: Column) -> Column:
+    """An upper bound of the ratio, from the lengths alone."""
+    return 2.0 * F.least(F.length(a), F.length(b)) / F.greatest(F.length(a) + F.length(b), F.lit(1))
 
 
 def one_edit(candidates: Column, term: str) -> Column:
@@ -90,11 +115,11 @@ def folded_names(norms: DataFrame, cfg: Config, column: str = "norm") -> DataFra
     pairs = texts.filter(free).select(column, F.explode(alias).alias("a")).select(column, "a.*")
     loose = F.col("surname") & (F.length("alias") >= fuzzy)
     words = F.when(loose, F.filter(tokens(F.col(column)), lambda w: F.length(w) >= fuzzy)).otherwise(F.array().cast("array<string>"))
-    scored = pairs.select(
-        "*",
-        best_ratio(F.concat(F.array(column), words), F.col("alias")).alias("_ratio"),
-        F.when(loose & F.contains(F.col(column), F.col("alias")), NAMED).otherwise(0.0).alias("_named"),
-    ).withColumn("_score", F.greatest("_ratio", "_named"))
+    # Texts that cannot reach the threshold, by their lengths, never get to the Python worker.
+    near = F.filter(F.concat(F.array(column), words), lambda w: reachable(w, F.col("alias")) >= F.col("threshold"))
+    named = F.when(loose & F.contains(F.col(column), F.col("alias")), NAMED).otherwise(0.0)
+    asked = pairs.select("*", near.alias("_near"), named.alias("_named")).filter((F.size("_near") > 0) | (F.col("_named") > 0))
+    scored = asked.withColumn("_score", F.greatest(best_ratio("_near", F.col("alias")), "_named"))
     best = scored.filter("_score >= threshold and _score > 0").groupBy(column).agg(F.max_by("name", F.struct("_score", -F.col("at"))).alias("_name"))
     return texts.join(best, column, "left").select(column, F.coalesce("_name", column).alias("candidate"))
 

@@ -27,11 +27,15 @@ def in_scope(images: DataFrame, results: DataFrame, cfg: Config) -> DataFrame:
 
 
 def tally(scoped: DataFrame) -> DataFrame:
-    """name, total, by_party (a map): named reads that are not quarantined, by total and name."""
+    """name, total, by_party (a map): named reads that are not quarantined."""
     named = scoped.filter((F.col("candidate") != "") & (F.coalesce("quarantined", F.lit(0)) == 0))
     per_party = named.groupBy(F.col("candidate").alias("name"), "party").agg(F.count(F.lit(1)).alias("n"))
-    whole = per_party.groupBy("name").agg(F.sum("n").alias("total"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("party", "n")))).alias("by_party"))
-    return whole.orderBy(F.desc("total"), "name")
+    return per_party.groupBy("name").agg(F.sum("n").alias("total"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("party", "n")))).alias("by_party"))
+
+
+def in_order(tallied: DataFrame) -> DataFrame:
+    """By total and name."""
+    return tallied.orderBy(F.desc("total"), "name")
 
 
 def ranked(tallied: DataFrame) -> DataFrame:
@@ -39,15 +43,29 @@ def ranked(tallied: DataFrame) -> DataFrame:
     return tallied.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("total"), "name")))
 
 
+def first_names(tallied: DataFrame, shown: int = TABLE_ROWS) -> DataFrame:
+    """The first names with their rank: a top-k, so that ranking looks at ``shown`` rows only."""
+    return ranked(in_order(tallied).limit(shown))
+
+
 def tail(tallied: DataFrame, shown: int = TABLE_ROWS) -> DataFrame:
-    """names and votes beyond the table's rows."""
-    beyond = ranked(tallied).filter(F.col("rank") > shown)
-    return beyond.agg(F.count(F.lit(1)).alias("names"), F.coalesce(F.sum("total"), F.lit(0)).alias("votes"))
+    """names and votes beyond the table's rows: all of them less the first."""
+    both = lambda rows: rows.agg(F.count(F.lit(1)).alias("names"), F.coalesce(F.sum("total"), F.lit(0)).alias("votes"))
+    first = both(in_order(tallied).limit(shown)).toDF("_names", "_votes")
+    # Each side is one row.
+    return both(tallied).crossJoin(first).select((F.col("names") - F.col("_names")).alias("names"), (F.col("votes") - F.col("_votes")).alias("votes"))
 
 
 def top_names(tallied: DataFrame, target: str, shown: int = NOTE_NAMES) -> DataFrame:
     """The first names by total, then without the target: shown or shown - 1 of them."""
-    return tallied.orderBy(F.desc("total"), "name").limit(shown).filter(F.col("name") != target)
+    return in_order(tallied).limit(shown).filter(F.col("name") != target)
+
+
+def party_counts(tallied: DataFrame) -> DataFrame:
+    """name and its counts by party as a text, the largest first."""
+    entries = F.transform(F.map_entries("by_party"), lambda e: F.struct((-e["value"]).alias("n"), e["key"].alias("party")))
+    texts = F.transform(F.array_sort(entries), lambda e: F.concat(e["party"], F.lit(" "), F.format_number(-e["n"], 0)))
+    return tallied.select("name", F.array_join(texts, ", ").alias("parties"))
 
 
 def summary(images: DataFrame, results: DataFrame, review: DataFrame, cfg: Config) -> DataFrame:

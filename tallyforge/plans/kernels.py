@@ -134,7 +134,7 @@ def longest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH b AS (SELECT p_partkey, p_size * 50 AS w, p_size * 80 AS h, (p_partkey % 50) / 200.0 AS x0, (p_partkey % 30) / 300.0 AS y0 FROM part)
 SELECT p_partkey, CAST(trunc(CAST(x0 AS DOUBLE) * w) AS INTEGER) AS left_px, CAST(trunc(CAST(y0 AS DOUBLE) * h) AS INTEGER) AS top_px,
 CAST(p_partkey % 100 - 60 AS INTEGER) AS region_top, CAST(p_size - 54 AS INTEGER) AS oval_left, CAST(p_size - 2 AS INTEGER) AS oval_right, CAST(p_size AS INTEGER) AS hand_left, CAST(p_partkey % 100 + 6 - 6 - 32 AS INTEGER) AS hand_top,
-p_size > 20 AND p_partkey % 500 > 110 AND p_partkey % 500 <= CAST(0.85 AS DOUBLE) * 400 AND p_size > 70 IS NOT NULL AND p_size + 50 > 70 AS indented FROM b JOIN part USING (p_partkey)""")
+p_size + 50 > 70 AND p_partkey % 500 > 110 AND p_partkey % 500 <= CAST(0.85 AS DOUBLE) * 400 AS indented FROM b JOIN part USING (p_partkey)""")
 def region_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "part").selectExpr("*", "p_size * 50 AS w", "p_size * 80 AS h", "named_struct('x0', (p_partkey % 50) / 200.0D, 'y0', (p_partkey % 30) / 300.0D, 'x1', 1.0D, 'y1', 1.0D) AS box")
     y = (F.col("p_partkey") % 100).cast("int")

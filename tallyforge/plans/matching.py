@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import similarity
 from ..functions.text import bar_width, html_escape, normalize, signed_percent, thousands, title_case
 from ..operators import stages, summary
+from ..scratch import written
+from ..telemetry import gauges
 from . import bindings as B
 from .register import registry, table
 
@@ -15,10 +17,9 @@ QUERIES, ORACLE_SQL, query = registry()
 TARGET = B.CONFIG.target.term
 
 
-def _results(spark: SparkSession, sf_dir: str, quarantine: bool = True) -> DataFrame:
-    rows = stages.matched(B.reads(spark, sf_dir), B.CONFIG)
-    if not quarantine:
-        return rows.withColumn("quarantined", F.lit(0))
+def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts with quarantine; similarity is worked out once, the rest reads what it gave."""
+    rows = written(stages.matched(B.reads(spark, sf_dir), B.CONFIG), "matched")
     held = _held(spark, sf_dir, rows).select("path", F.lit(1).alias("_held"))
     return rows.join(held, "path", "left").withColumn("quarantined", F.coalesce("_held", F.lit(0))).drop("_held")
 
@@ -76,7 +77,7 @@ def rescore_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(B.match_sql("SELECT path, layout, vision_text FROM held", B.QUARANTINED))
 def modal_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _held(spark, sf_dir, stages.matched(B.reads(spark, sf_dir), B.CONFIG))
+    return _held(spark, sf_dir, written(stages.matched(B.reads(spark, sf_dir), B.CONFIG), "matched"))
 
 
 @query(_summary_sql("SELECT name, total, party, n FROM tally JOIN totals USING (name)"))
@@ -85,6 +86,20 @@ def tally_by_party(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("name", "total", F.explode("by_party").alias("party", "n"))
 
 
+@query(_summary_sql("SELECT name, total, string_agg(party || ' ' || format('{:,}', n), ', ' ORDER BY n DESC, party) AS parties FROM tally JOIN totals USING (name) GROUP BY name, total"))
+def manifest_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All names of the manifest, each with its counts by party as the report shows them."""
+    found = summary.tally(_scoped(spark, sf_dir))
+    return found.select("name", "total").join(summary.party_counts(found), "name")
+
+
+@query(_summary_sql("""SELECT 'images.by_status' AS name, status AS label, count(*) AS value FROM matched GROUP BY status
+UNION ALL SELECT 'match.by_result', match, count(*) FROM matched GROUP BY match UNION ALL SELECT 'review.queue.size', NULL, count(*) FROM matched WHERE reason IS NOT NULL"""))
+def state_gauges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _results(spark, sf_dir)
+    return gauges(B.images(spark, sf_dir), rows, rows.filter("reason IS NOT NULL"))
+
+
 @query(_summary_sql("""SELECT count(*) FILTER (s) AS marked_read, count(*) FILTER (d AND party = 'other') AS out_of_scope_other, count(*) FILTER (s AND match = 'widget') AS target_total,
 count(*) FILTER (d AND party = 'Democratic' AND match = 'widget') AS target_first_party, count(*) FILTER (s AND candidate <> '') - count(*) FILTER (s AND match = 'widget') AS other_names,
 count(*) FILTER (s AND match = 'review') AS ambiguous, (SELECT count(*) FROM totals) AS distinct_candidates, count(*) FILTER (s AND candidate = '') AS blank_writeins,
@@ -110,21 +125,32 @@ def note_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary.top_names(summary.tally(_scoped(spark, sf_dir)), TARGET).select("name", "total")
 
 
-@query(_summary_sql("""SELECT name, rank, box, seq, party, vision_text AS text, crop_path FROM (
+_GALLERY = """SELECT name, rank, box, seq, party, vision_text AS text, crop_path FROM (
 SELECT candidate AS name, row_number() OVER (PARTITION BY candidate ORDER BY vision_conf DESC, path) AS rank, box, seq, party, vision_text, crop_path FROM scoped
-WHERE crop_path IS NOT NULL AND candidate IN (SELECT 'widget' UNION ALL (SELECT name FROM totals WHERE name <> 'widget' ORDER BY total DESC, name LIMIT 11))) WHERE rank <= 9"""))
+WHERE crop_path IS NOT NULL AND candidate IN (SELECT 'widget' UNION ALL (SELECT name FROM totals WHERE name <> 'widget' ORDER BY total DESC, name LIMIT 11))) WHERE rank <= 9"""
+
+
+@query(_summary_sql(_GALLERY))
 def gallery_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     scoped = _scoped(spark, sf_dir)
     return summary.gallery(scoped, summary.tally(scoped), B.CONFIG).withColumn("rank", F.col("rank").cast("long"))
 
 
+@query(_summary_sql(_GALLERY + " AND crop_path NOT LIKE '%7.png'"))
+def gallery_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gallery where some crops are gone from the disk: it gets shorter, no other crop moves up."""
+    scoped = _scoped(spark, sf_dir)
+    there = B.reads(spark, sf_dir).filter("crop_path NOT LIKE '%7.png'").select("crop_path")
+    return summary.gallery(scoped, summary.tally(scoped), B.CONFIG, there).withColumn("rank", F.col("rank").cast("long"))
+
+
 @query(B.match_sql("""SELECT path, reason, vision_text, round(match_score, 9) AS match_score, crop_path FROM (
 SELECT path, 'mislocated_region' AS reason, vision_text, CAST(0 AS DOUBLE) AS match_score, CAST(NULL AS VARCHAR) AS crop_path FROM held
 UNION ALL SELECT path, reason, vision_text, score, crop_path FROM matched WHERE reason IS NOT NULL AND status = 'done' AND path NOT IN (SELECT path FROM held)
 UNION ALL SELECT path, 'unvalidated_region', NULL, NULL, crop_path FROM matched WHERE status <> 'done' AND path NOT IN (SELECT path FROM held))""", B.QUARANTINED))
 def review_upsert_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages start in the queue; matching the done ones and the quarantine leave this."""
-    rows = stages.matched(B.reads(spark, sf_dir), B.CONFIG)
+    rows = written(stages.matched(B.reads(spark, sf_dir), B.CONFIG), "matched")
     start = rows.select("path", F.lit("unvalidated_region").alias("reason"), F.lit(None).cast("string").alias("vision_text"), F.lit(None).cast("double").alias("match_score"), "crop_path")
     after = stages.review_after(start, rows.filter("status = 'done'"), _held(spark, sf_dir, rows))
     return after.withColumn("match_score", F.round("match_score", 9))

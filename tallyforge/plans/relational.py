@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import parsed_parts
 from ..operators import stages, state, summary
+from ..sources.files import OFFICIAL, contests
+from ..telemetry import inflight
 from .register import registry, table
 
 QUERIES, ORACLE_SQL, query = registry()
@@ -40,6 +42,12 @@ def parse_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", parsed_parts(F.col("url"), URL).alias("p")).select("page_id", "p.box", "p.seq")
 
 
+@query("SELECT count(*) FILTER (regexp_extract(url, '^https?://([^/]+)/[a-z]{2}/(\\d+)', 1, 'i') = '') AS n FROM pages")
+def skipped_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many names do not parse."""
+    return table(spark, sf_dir, "pages").agg(F.count_if(parsed_parts(F.col("url"), URL)["box"].isNull()).alias("n"))
+
+
 @query("SELECT count(DISTINCT box) AS boxes, count(*) FILTER (box IS NULL) AS unparsed FROM (SELECT nullif(regexp_extract(url, '^https?://([^/]+)/[a-z]{2}/(\\d+)', 1, 'i'), '') AS box FROM pages)")
 def distinct_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     box = parsed_parts(F.col("url"), URL)["box"]
@@ -148,12 +156,13 @@ def update_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.update(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), delta, "doc_id")
 
 
-@query("""WITH t AS (SELECT doc_id, lang, source FROM documents WHERE doc_id % 3 <> 0), d AS (SELECT doc_id, 'q' || quality AS lang FROM labels)
-SELECT coalesce(t.doc_id, d.doc_id) AS doc_id, CASE WHEN d.doc_id IS NOT NULL THEN d.lang ELSE t.lang END AS lang, source FROM t FULL JOIN d ON t.doc_id = d.doc_id""")
+@query("""WITH d AS (SELECT CASE WHEN toxic = 1 THEN doc_id + 1000000000 ELSE doc_id END AS doc_id, 'q' || quality AS lang FROM labels)
+SELECT coalesce(t.doc_id, d.doc_id) AS doc_id, CASE WHEN d.doc_id IS NOT NULL THEN d.lang ELSE t.lang END AS lang, source FROM documents t FULL JOIN d ON t.doc_id = d.doc_id""")
 def upsert_partial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table starts with two thirds of the documents, so that labels both update and insert."""
-    start = table(spark, sf_dir, "documents").filter("doc_id % 3 <> 0").select("doc_id", "lang", "source")
-    return state.upsert(start, table(spark, sf_dir, "labels").select("doc_id", F.concat(F.lit("q"), F.col("quality")).alias("lang")), "doc_id")
+    """All documents; labels of clean ones update, those of toxic ones get ids that no document has and insert."""
+    key = F.when(F.col("toxic") == 1, F.col("doc_id") + 1_000_000_000).otherwise(F.col("doc_id"))
+    delta = table(spark, sf_dir, "labels").select(key.alias("doc_id"), F.concat(F.lit("q"), F.col("quality")).alias("lang"))
+    return state.upsert(table(spark, sf_dir, "documents").select("doc_id", "lang", "source"), delta, "doc_id")
 
 
 @query("""SELECT c_custkey AS k, c_mktsegment AS status FROM customer WHERE c_nationkey < 20
@@ -195,3 +204,20 @@ def reconcile_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     ours = table(spark, sf_dir, "orders").filter("o_orderpriority <> '3-MEDIUM'").groupBy(F.col("o_orderpriority").alias("party")).agg(F.count_if(F.col("o_orderstatus") == "F").alias("ours"))
     official = spark.sql("SELECT party, CAST(official AS BIGINT) AS official FROM VALUES ('1-URGENT', 1000), ('2-HIGH', 5), ('3-MEDIUM', 10), ('4-NOT SPECIFIED', 0), ('5-LOW', NULL) AS t(party, official)")
     return summary.reconcile(ours, official).withColumn("delta", F.round("delta", 9))
+
+
+_OFFICIAL = '{"source": "portal", "as_of": "2026-06-18", "status": "unofficial", "contests": {"Democratic": {"writein_total": 250}, "Republican": {"writein_total": null}}}'
+
+
+@query("""SELECT * FROM (VALUES ('Democratic', CAST(250 AS BIGINT), 'portal', '2026-06-18', 'unofficial'), ('Republican', NULL, 'portal', '2026-06-18', 'unofficial')) AS t(party, official, source, as_of, status)""")
+def official_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An official document's totals, with where they come from."""
+    return contests(spark.range(1).select(F.from_json(F.lit(_OFFICIAL), OFFICIAL).alias("d")).select("d.*"))
+
+
+@query("""WITH e AS (SELECT o_orderkey % 977 AS k, o_orderkey % 13 AS ms FROM orders), s AS (SELECT k * 0.25 AS moment, 1 AS step FROM e UNION ALL SELECT k * 0.25 + ms * 0.5, -1 FROM e),
+r AS (SELECT sum(step) OVER (ORDER BY moment, step DESC ROWS UNBOUNDED PRECEDING) AS up FROM s) SELECT CAST(max(up) AS BIGINT) AS most FROM r""")
+def inflight_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as reads that begin by their key and take up to six seconds."""
+    rows = table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 977 * 0.25).alias("began"), (F.col("o_orderkey") % 13 * 500.0).alias("latency_ms"))
+    return inflight(rows)

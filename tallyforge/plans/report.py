@@ -34,8 +34,12 @@ def _text(value) -> str:
     return html.escape("" if value is None else str(value))
 
 
+# The least width of a bar in per cent, and the least weight of the ambiguous part.
+LEAST_WIDTH, LEAST_PART = 0.6, 40
+
+
 def _width(n: int, total: int) -> str:
-    return f"{max(100 * n / total if total else 0, 0.6):.2f}"
+    return f"{max(100 * n / total if total else 0, LEAST_WIDTH):.2f}"
 
 
 def party_counts(by_party: dict[str, int]) -> str:
@@ -50,31 +54,42 @@ def collect(count: Count, official: DataFrame, expected_boxes: DataFrame | None
     """
     cfg, images, results, review = count.cfg, count.table("images"), count.table("results"), count.table("review")
     scoped = count.scoped()
-    tallied = S.tally(scoped)
+    tallied = S.tally(scoped).persist()  # a row for each name, read several times here
     pictures: dict[str, list[dict]] = {}
     for r in S.gallery(scoped, tallied, cfg, files).orderBy("name", "rank").collect():
         pictures.setdefault(r["name"], []).append({k: r[k] for k in ("box", "seq", "party", "text", "crop_path")})
     coverage = S.coverage(expected_boxes, images, "box").first().asDict() if expected_boxes is not None else {"on_disk": None, "ingested": images.select("box").distinct().count(), "missing": None}
-    shown = S.ranked(tallied)
     # Pictures can be of names beyond the table's rows: their totals come from the whole tally.
     totals = {r["name"]: r["total"] for r in tallied.filter(F.col("name").isin(*pictures)).collect()} if pictures else {}
     return {
         "status": {r["status"]: r["n"] for r in S.counts_by(images, "status").collect()},
         "summary": S.summary(images, results, review, cfg).first().asDict(),
-        "tally": [r.asDict() for r in shown.filter(F.col("rank") <= S.TABLE_ROWS).orderBy("rank").collect()],
-        "names": tallied,
+        "tally": [r.asDict() for r in S.first_names(tallied).orderBy("rank").collect()],
+        "names": S.in_order(tallied),
         "totals": totals,
         "tail": S.tail(tallied).first().asDict(),
         "note": [f"{r['name'].title()} {r['total']}" for r in S.top_names(tallied, cfg.target.term).collect()],
         "gallery": pictures,
         "coverage": coverage,
+        "official": _about(official),
         "checks": [r.asDict() for r in S.reconcile(S.filled_by_party(scoped), official).orderBy("party").collect()],
     }
 
 
+def _about(official: DataFrame) -> dict:
+    """Where the official totals come from; nulls without any."""
+    names = ("source", "as_of", "status")
+    row = official.select(*names).first() if set(names) <= set(official.columns) else None
+    return {n: row[n] if row else None for n in names}
+
+
 def manifest_parts(found: dict) -> Iterator[str]:
     """The manifest in pieces; the tally comes to the driver one partition at a time."""
-    validation = {"coverage": found["coverage"], "contests": found["checks"]}
+    coverage, official = found["coverage"], found["official"]
+    validation = {
+        "boxes_ingested": coverage["ingested"], "boxes_on_disk": coverage["on_disk"], "boxes_missing": coverage["missing"],
+        "source": official["source"], "as_of": official["as_of"], "official_status": official["status"], "contests": found["checks"],
+    }
     tally = ({"name": t["name"], "total": t["total"], "by_party": t["by_party"]} for t in found["names"].toLocalIterator())
     return manifest_document(found["summary"], validation, found["note"], tally, found["gallery"])
 
@@ -99,7 +114,7 @@ def _figure(item: dict) -> str:
 
 def _split(s: dict) -> str:
     """Three parts: the target, other names, ambiguous reads (never too thin to be seen)."""
-    parts = ((s["target_total"], "#468"), (s["other_names"], "#9ac"), (max(s["ambiguous"], 40), "#ddd"))
+    parts = ((s["target_total"], "#468"), (s["other_names"], "#9ac"), (max(s["ambiguous"], LEAST_PART), "#ddd"))
     return "".join(f'<div style="flex:{n};background:{c}"></div>' for n, c in parts)
 
 

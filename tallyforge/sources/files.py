@@ -16,11 +16,16 @@ OFFICIAL = T.StructType([
 
 
 def official_totals(spark: SparkSession, path: str | None) -> DataFrame:
-    """party, official; empty without a file."""
+    """party, official, and source, as_of, status of the document; empty without a file."""
     if path is None:
-        return spark.createDataFrame([], "party string, official long")
-    totals = spark.read.schema(OFFICIAL).json(path, multiLine=True)
-    return totals.select(F.explode("contests").alias("party", "t")).select("party", F.col("t.writein_total").alias("official"))
+        return spark.createDataFrame([], "party string, official long, source string, as_of string, status string")
+    return contests(spark.read.schema(OFFICIAL).json(path, multiLine=True))
+
+
+def contests(documents: DataFrame) -> DataFrame:
+    """The totals of official documents (OFFICIAL), a row for each party."""
+    totals = documents.select("source", "as_of", "status", F.explode("contests").alias("party", "t"))
+    return totals.select("party", F.col("t.writein_total").alias("official"), "source", "as_of", "status")
 
 
 def write_tables(results: DataFrame, review: DataFrame, folder: str) -> None:
