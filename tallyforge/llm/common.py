@@ -1,21 +1,15 @@
-"""What the training-data operators share: the shared folder, written tables and small text rules.
-
-Cutting lineage
----------------
-``written`` stores a frame as Parquet under the folder that the cluster names in
-``spark.checkpoint.dir`` and reads it back.  The files survive a lost executor, and whatever row
-numbers or block numbers the frame carries are fixed from then on.  Loops ``discard`` the tables of
-earlier rounds; ``clean`` deletes the rest once no result is read any more.
+"""What the training-data operators share: written tables, joins that bear skew and small text rules.
+
+Intermediate tables are stored by ``scratch.written`` in the shared folder.
 """
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import clean, delete, discard, held, written  # noqa: F401
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
@@ -25,46 +19,6 @@ BATCH_BYTES = 8 << 20
 HEAVY, LEAST_HOT, SALTS = 1000, 1000, 64
 #: Row numbers of dropped documents that may be broadcast (8 bytes each).
 MOST_BROADCAST = 1_000_000
-_written: list[str] = []
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where the session names none (tests)."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="tallyforge-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
-def written(df: DataFrame, label: str, codec: str = "zstd") -> DataFrame:
-    """``df`` stored once in the shared folder and read back."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._stored = path
-    _written.append(path)
-    return out
-
-
-def discard(*frames: DataFrame) -> None:
-    """Deletes the files of frames from ``written`` that nothing reads any more (earlier rounds of a loop)."""
-    for frame in frames:
-        _delete(frame.sparkSession, frame._stored)
-
-
-def clean(spark: SparkSession) -> None:
-    """Deletes all that ``written`` has stored; for the end of a session, when no result is read any more."""
-    while _written:
-        _delete(spark, _written[-1])
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    if path in _written:
-        _written.remove(path)
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def frequent_keys(rows: DataFrame, keys: list[str]) -> list[int]:
@@ -105,6 +59,13 @@ def without(rows: DataFrame, losers: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(losers) if few else losers.hint("merge"), "_row", "left_anti")
 
 
+def freed(spark: SparkSession, before: list[str], kept: DataFrame) -> None:
+    """Deletes what was written since ``before`` (``held``) but for ``kept``, once nothing else of it is read."""
+    for path in held():
+        if path not in before and path != kept._stored:
+            delete(spark, path)
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Python workers get batches of at most BATCH_BYTES; holds for the session, since plans run later."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))

@@ -44,9 +44,11 @@ MOST_REPEATED = 50  # per cent of the words
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 MARKS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalpha())
 RULES = ["mark_share", "symbol_ratio", "word_length", "dup_line_ratio", "repeat_ratio"]
-SPREADS, TAIL = 5.0, 3.0
+#: Styles differ more in the length of words than in marks.
+SPREADS, TAIL = {"mark_share": 5.0, "symbol_ratio": 5.0, "word_length": 10.0}, 3.0
 #: Standard deviation of the length of a word, in letters.
 LETTERS = 2.5
+FINEST = {"n_words": 100, "word_chars": 500}
 #: Words of one window said twice.
 ONE_REPEAT = 6
 #: Of quantiles.
@@ -112,11 +114,13 @@ def _ratios() -> dict[str, Column]:
 
 
 def _noise(rule: str, mid: Column) -> Column:
-    """How far chance moves a ratio of a document of its length from ``mid``: counts vary with their root, and by one at least."""
-    if rule == "word_length":
-        return F.lit(LETTERS) / F.sqrt(_at_least_one("n_words"))
-    of = _at_least_one("word_chars" if rule == "mark_share" else "n_words")
-    return F.sqrt(mid / of) + 1.0 / of
+    """How far chance moves a ratio of a document of its length from ``mid``: counts vary with their root, and by one at least.
+
+    Longer documents than FINEST words or characters are not judged more finely: they differ in style.
+    """
+    part = "word_chars" if rule == "mark_share" else "n_words"
+    of = F.least(_at_least_one(part), F.lit(FINEST[part]))
+    return F.lit(LETTERS) / F.sqrt(of) if rule == "word_length" else F.sqrt(mid / of) + 1.0 / of
 
 
 def base_failed() -> Column:
@@ -160,7 +164,7 @@ def _outlier(of: str) -> list[Column]:
 
     def beyond(rule: str, side: str) -> Column:
         away = ratios[rule] - limit(f"{rule}_mid")
-        return (away if side == "up" else -away) > SPREADS * F.greatest(limit(f"{rule}_{side}"), _noise(rule, limit(f"{rule}_mid")))
+        return (away if side == "up" else -away) > SPREADS[rule] * F.greatest(limit(f"{rule}_{side}"), _noise(rule, limit(f"{rule}_mid")))
 
     marks = beyond("mark_share", "up") & beyond("symbol_ratio", "up")
     length = beyond("word_length", "up") | beyond("word_length", "down")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .quality import _GROWTH, LEAST, LEAST_WORDS, LETTERS, LIMITS, MOST_REPEATED, ONE_REPEAT, RULES, SPREADS, TAIL
+from .quality import _GROWTH, FINEST, LEAST, LEAST_WORDS, LETTERS, LIMITS, MOST_REPEATED, ONE_REPEAT, RULES, SPREADS, TAIL
 
 _SPACE = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]"
@@ -29,10 +29,11 @@ def _picked() -> str:
 
 def _beyond(of: str, rule: str, side: str) -> str:
     mid = f"{of}_{rule}_mid"
-    chars = "greatest(word_chars, 1)" if rule == "mark_share" else "greatest(n_words, 1)"
-    noise = f"{_double(LETTERS)} / sqrt(CAST(greatest(n_words, 1) AS DOUBLE))" if rule == "word_length" else f"sqrt({mid} / {chars}) + CAST(1 AS DOUBLE) / {chars}"
+    part = "word_chars" if rule == "mark_share" else "n_words"
+    length = f"least(greatest({part}, 1), {FINEST[part]})"
+    noise = f"{_double(LETTERS)} / sqrt(CAST({length} AS DOUBLE))" if rule == "word_length" else f"sqrt({mid} / {length}) + CAST(1 AS DOUBLE) / {length}"
     away = f"{rule} - {mid}" if side == "up" else f"-({rule} - {mid})"
-    return f"{away} > {_double(SPREADS)} * greatest({of}_{rule}_{side}, {noise})"
+    return f"{away} > {_double(SPREADS[rule])} * greatest({of}_{rule}_{side}, {noise})"
 
 
 def _outlier() -> str:

@@ -172,3 +172,30 @@ def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (-5, 200)], "a long, b long")
     got = {r.node: r.label for r in simhash.components(edges).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100, -5: -5, 200: -5}
+
+
+def test_long_texts(spark):
+    words = [f"w{i * 7919 % 100_003}x{i}" for i in range(200_000)]
+    changed = words[:777] + ["other"] + words[778:]
+    rows = [(1, " ".join(words)), (2, "\n".join(words)), (3, " ".join(changed)), (4, " ".join(words[::-1])), (5, " ".join(words).upper()), (6, "x" * 3_000_000)]
+    got = {r.doc_id: r for r in simhash.near_duplicates(wide(spark, rows)).collect()}
+    assert [got[i].component_id for i in range(1, 7)] == [1, 1, 1, 4, 1, 6] and got[6].fingerprint == f"{brute_fp('x' * 3_000_000):016x}"
+    assert {r.doc_id for r in exact_dedup.deduplicate(wide(spark, rows)).collect()} == {2, 3, 4, 5, 6}
+
+
+def test_ties_of_exact_duplicates_do_not_depend_on_partitions(spark):
+    rows = [(1, "aB"), (1, "Ab"), (1, "AB"), (None, "ab")] * 3
+    left = [exact_dedup.deduplicate(wide(spark, r).repartition(n)).select("doc_id", "text").collect() for r, n in ((rows, 1), (rows[::-1], 4))]
+    assert left[0] == left[1] and len(left[0]) == 1
+
+
+def test_loose_rows_of_a_dense_meeting():
+    rng = np.random.default_rng(6)
+    center = rng.integers(0, 1 << 63, 1, dtype=np.uint64)
+    near = np.repeat(center, 3000)
+    for _ in range(4):
+        near ^= np.uint64(1) << rng.integers(0, 64, 3000, dtype=np.uint64)
+    fps = np.unique(np.concatenate((near, rng.integers(0, 1 << 63, 200, dtype=np.uint64), near[:100] ^ np.uint64(0xFF00))))
+    got = simhash.connect(np.zeros(len(fps), int), fps)
+    roots = sets_of([int(f) for f in fps])
+    assert len(set(zip(roots, got.tolist()))) == len(set(roots)) == len(set(got.tolist()))

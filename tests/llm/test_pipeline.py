@@ -61,3 +61,32 @@ def test_stages_keep_columns(spark, sf):
         assert stage(spark, docs.limit(0), sf).count() == 0, name
     assert corpus_pipeline.STAGES[-1][1](spark, docs.limit(0), sf).count() == 0
     assert P.path("word_bpe_49k.json")
+
+
+def test_clashing_columns_and_long_texts(spark, tmp_path):
+    more = ["fp", "_row", "sha", "_sha", "found", "kept", "spans", "level", "fence_level", "n_words", "repository", "owner", "hash", "_key", "_salt", "_text", "_own_text", "seq"]
+    long = " ".join(f"wo{i * 7919 % 100_003 if i % 2 else i * 104_729 % 99_991}" for i in range(500_000))  # 4 MB, hardly a window twice
+    rows = [(i, good(i), "en", "s", 0) for i in range(30)] + [(50, long, "en", "s", 0), (51, long.upper(), "en", "t", 0), (52, long + f" {TOKEN}", "en", "t", 0), (53, long[2_000_000:], "de", "t", 0), (54, None, None, None, None), (7, good(7), "en", "s", 0)]
+    plain = spark.createDataFrame(rows, COLUMNS)
+    wide = plain.selectExpr("*", *(f"{i} AS {c}" for i, c in enumerate(more)))
+    results = []
+    for name, docs in (("plain", plain), ("wide", wide)):
+        docs.repartition(3).write.parquet(str(tmp_path / name / "documents.parquet"))
+        got = corpus_pipeline.run(spark, str(tmp_path / name)).collect()
+        results.append(sorted((r.doc_id, r.start, r.length, r.ids_crc32) for r in got if r.doc_id != 7))
+    # Where documents are cut depends on their neighbours; which are kept, and how long they are, does not.
+    whole = [{i: sum(n for j, _, n, _ in r if j == i) for i, *_ in r} for r in results]
+    assert whole[0] == whole[1] and {51, 53} <= set(whole[0]) and not {50, 54} & set(whole[0])
+    stages = wide
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        stages = stage(spark, stages, str(tmp_path))
+        assert stages.columns == wide.columns, name
+    assert [stages.select(c).distinct().collect() for c in more] == [[(i,)] for i in range(len(more))]
+
+
+def test_stages_leave_no_tables_behind(spark, sf):
+    from tallyforge import scratch
+
+    before = set(scratch.held())
+    corpus_pipeline.run(spark, sf).count()
+    assert len(set(scratch.held()) - before) == 1  # the last stage's documents
