@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyforge.llm import exact_dedup, packing, quality, secret_scan, simhash
-from tallyforge.llm.common import documents, written
+from tallyforge.llm.common import documents, freed, held, written
 from tallyforge.llm.queries import tokenizer_path
 
 
@@ -51,7 +51,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), held()
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"), "snappy")
+        freed(spark, before, docs)  # the stages' own tables, and their predecessors' documents
     return STAGES[-1][1](spark, docs, sf_dir)
