@@ -9,15 +9,18 @@ Distribution: windows are dealt to buckets by the least hash of their GRAM-byte
 windows meet.  Neighbouring windows share that value for some dozen positions and travel as one
 string.  A first exchange asks which values occur in two documents at all; strings travel only for
 those.  Blocks of documents ask once for each distinct string, so frequent passages cost a string a block.
+A value that leads more than HOT_RUNS runs (a frequent gram amid varied text) would fill its bucket: its
+windows are dealt one by one, by the hash of all their bytes, to all buckets.
 
 1. ``_blocks``   packs documents into blocks (written).
-2. ``_asked``    blocks ask buckets which of their values are shared; ``_shared`` answers in bits.
-3. ``_strings``  blocks send the strings of shared values; ``_owned`` sorts a bucket's suffixes and
+2. ``asks``      blocks ask buckets which of their values are shared; ``_shared`` answers in bits, also which
+                 values are hot.
+3. ``sends``     blocks send the strings of shared values; ``_owned`` sorts a bucket's suffixes and
                  answers with each window's first owner.
-4. ``_cut``      blocks remove what a smaller doc_id owns.
+4. ``removed``   blocks remove what a smaller doc_id owns.
 
 A null text counts as empty.  Documents of one doc_id do not remove each other's bytes; a null doc_id
-ranks last.  Texts under DEPTH bytes stay whole.  Empty tables give empty results.
+counts as 2^63 - 1, the largest.  Texts under DEPTH bytes stay whole.  Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -39,6 +42,8 @@ GRAM = 24
 #: Blocks grow with the root of the input, so that cells (blocks x buckets) do not outgrow their contents.
 LEAST_BLOCK, MOST_BLOCK, BLOCK_ROOT = 8 << 20, 128 << 20, 12.8
 BUCKET_BYTES = 64 << 20
+#: Runs of one value that a bucket takes, of some 76 bytes each.
+HOT_RUNS = 1 << 19
 CHUNK = 1 << 18
 LAST = np.iinfo(np.int64).max
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -179,37 +184,50 @@ class Block:
         self.edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
 
     def asks(self) -> Iterator[tuple[int, bytes]]:
-        """By bucket: its values and whether two documents of this block hold each."""
+        """By bucket: its values, whether two documents of this block hold each, and how many runs it has beyond the first."""
         low, high = np.full(len(self.values), LAST), np.full(len(self.values), -1)
         np.minimum.at(low, self.place, self.doc)
         np.maximum.at(high, self.place, self.doc)
-        several = low < high
+        several, more = low < high, np.bincount(self.place, minlength=len(self.values)) - 1
         for b in range(self.buckets):
             cut = slice(self.edges[b], self.edges[b + 1])
             if cut.start < cut.stop:
                 steps = np.diff(self.values[cut] // np.uint64(self.buckets), prepend=np.uint64(0))
-                yield b, pack_parts(pack_numbers(steps), squeeze(np.packbits(several[cut]).tobytes()))
+                yield b, pack_parts(pack_numbers(steps), squeeze(np.packbits(several[cut]).tobytes()), pack_numbers(more[cut]))
 
     def share(self, bits: dict[int, bytes]) -> None:
-        """Keeps the runs whose values are shared, and numbers their distinct strings by bucket."""
-        shared = np.zeros(len(self.values), bool)
+        """Keeps the runs whose values are shared, takes hot ones apart, and numbers their distinct strings by bucket."""
+        shared, hot = np.zeros(len(self.values), bool), np.zeros(len(self.values), bool)
         for b, cell in bits.items():
-            n = self.edges[b + 1] - self.edges[b]
-            shared[self.edges[b] : self.edges[b + 1]] = np.unpackbits(np.frombuffer(expand(cell), np.uint8), count=n).view(bool)
-        keep = shared[self.place]
-        order = np.flatnonzero(keep)
-        order = order[np.argsort(self.value[order] % np.uint64(self.buckets), kind="stable")]
-        self.run_start, self.run_doc = self.start[order], self.doc[order]
+            cut = slice(self.edges[b], self.edges[b + 1])
+            shared[cut], hot[cut] = (np.unpackbits(np.frombuffer(expand(x), np.uint8), count=cut.stop - cut.start).view(bool) for x in unpack_parts(cell))
+        kept = np.flatnonzero((shared & ~hot)[self.place])
+        apart = np.flatnonzero((shared & hot)[self.place])
+        windows = ragged(self.start[apart], self.count[apart])
+        start, doc = np.concatenate((self.start[kept], windows)), np.concatenate((self.doc[kept], np.repeat(self.doc[apart], self.count[apart])))
+        end = start + np.concatenate((self.count[kept], np.ones(len(windows), np.int64))) + self.depth - 1
+        # No string is of both kinds: windows of the same bytes have the same value.
+        bucket = (np.concatenate((self.value[kept], self._hashes(windows))) % np.uint64(self.buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        self.run_start, self.run_doc = start[order], doc[order]
         text, numbers = self.data.tobytes(), {}
-        ends = (self.run_start + self.count[order] + self.depth - 1).tolist()
         number = numbers.setdefault
-        self.string = np.array([number(text[s:e], len(numbers)) for s, e in zip(self.run_start.tolist(), ends, strict=True)], np.int64)
+        self.string = np.array([number(text[s:e], len(numbers)) for s, e in zip(self.run_start.tolist(), end[order].tolist(), strict=True)], np.int64)
         self.strings = list(numbers)
         self.owner = np.full(len(numbers), LAST)
         np.minimum.at(self.owner, self.string, self.ids[self.run_doc])
-        bucket = np.zeros(len(numbers), np.int64)
-        bucket[self.string] = (self.value[order] % np.uint64(self.buckets)).astype(np.int64)
-        self.string_edges = np.searchsorted(bucket, np.arange(self.buckets + 1))
+        string_bucket = np.zeros(len(numbers), np.int64)
+        string_bucket[self.string] = bucket[order]
+        self.string_edges = np.searchsorted(string_bucket, np.arange(self.buckets + 1))
+
+    def _hashes(self, windows: np.ndarray) -> np.ndarray:
+        """Of all bytes of each window."""
+        found = np.zeros(len(windows), np.uint64)
+        chunk = windows // CHUNK
+        for c in np.unique(chunk):
+            own = chunk == c
+            found[own] = _window_values(self.data[c * CHUNK : (c + 1) * CHUNK + self.depth - 1], self.depth, self.depth)[windows[own] - c * CHUNK]
+        return found
 
     def sends(self) -> Iterator[tuple[int, bytes]]:
         for b in range(self.buckets):
@@ -250,21 +268,25 @@ class Block:
             begin = end
 
 
-def _shared(_: int, rows: Iterator[dict]) -> Iterator[tuple]:
-    """Bits of a bucket's values that two documents hold."""
-    blocks, values, several = [], [], []
+def _shared(rows: Iterator[dict], hot_runs: int) -> Iterator[tuple]:
+    """Bits of a bucket's values that two documents hold, and of those that lead more than ``hot_runs`` runs."""
+    blocks, values, several, more = [], [], [], []
     for row in rows:
-        steps, bits = unpack_parts(row["cell"])
+        steps, bits, extra = unpack_parts(row["cell"])
         v = np.cumsum(unpack_numbers(steps), dtype=np.uint64)
         blocks.append((row["block"], row["bucket"]))
         values.append(v)
         several.append(np.unpackbits(np.frombuffer(expand(bits), np.uint8), count=len(v)).view(bool))
+        more.append(unpack_numbers(extra).astype(np.int64))
     _, number, times = np.unique(np.concatenate(values), return_inverse=True, return_counts=True)
     shared = times > 1
     shared[number[np.concatenate(several)]] = True
-    at = 0
+    extra = np.concatenate(more)
+    np.add.at(times, number[extra > 0], extra[extra > 0])
+    hot, at = times > hot_runs, 0
     for (block, bucket), v in zip(blocks, values, strict=True):
-        yield block, bucket, squeeze(np.packbits(shared[number[at : at + len(v)]]).tobytes()), None
+        own = number[at : at + len(v)]
+        yield block, bucket, pack_parts(*(squeeze(np.packbits(x[own]).tobytes()) for x in (shared, hot))), None
         at += len(v)
 
 
@@ -308,7 +330,7 @@ def _block_of(rows: Iterator[dict], buckets: int, depth: int) -> tuple[Block | N
     return block, bits, owners
 
 
-def remove_repeats(docs: DataFrame, depth: int = DEPTH, block_bytes: int | None = None, buckets: int | None = None, texts: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, depth: int = DEPTH, block_bytes: int | None = None, buckets: int | None = None, texts: bool = False, hot_runs: int = HOT_RUNS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if ``texts``, the bytes that stay (kept)."""
     spark = docs.sparkSession
     width = shuffle_width(spark)
@@ -338,7 +360,7 @@ def remove_repeats(docs: DataFrame, depth: int = DEPTH, block_bytes: int | None
 
     kind = lambda df, k: df.withColumn("kind", F.lit(k))
     whole = kind(blocks.select("block", F.lit(-1).alias("bucket"), F.lit(None).cast("binary").alias("cell"), "docs"), 2)
-    bits = kind(written(by_key(blocks.mapInArrow(ask, _ROW), "bucket", width, _shared, _ROW), "suffix-shared", "none"), 0)
+    bits = kind(written(by_key(blocks.mapInArrow(ask, _ROW), "bucket", width, lambda _, rows: _shared(rows, hot_runs), _ROW), "suffix-shared", "none"), 0)
     strings = by_key(bits.unionByName(whole), "block", width, send, _ROW)
     owned = kind(by_key(strings, "bucket", width, lambda _, rows: _owned(rows, depth), _ROW), 1)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * texts

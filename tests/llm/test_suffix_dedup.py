@@ -90,3 +90,42 @@ def test_runs_hold_every_window_once(chunk, monkeypatch):
     # Equal windows have one value wherever they stand.
     again = S.runs(np.frombuffer(b"zz" + texts[7], np.uint8), np.array([2 + len(texts[7])]))
     assert set(value[doc == 7].tolist()) <= set(again[2].tolist())
+
+
+def test_hot_values_are_dealt_by_window(spark, sf):
+    # One phrase in many documents, each time amid other words, some of which repeat too.
+    rng = random.Random(7)
+    phrase = "all rights reserved, see the license of"
+    words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 9))) for _ in range(40)]
+    some = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    rows = [(i, f"{some(6)} {phrase} {some(6)}") for i in range(300)]
+    rows += [(1000 + i, rows[i * 3][1][rng.randint(0, 30) :]) for i in range(60)] + [(r.doc_id + 5000, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").limit(40).collect()]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = brute(rows)
+    assert sum(r[2] for r in want) > 3000
+    for hot_runs in (0, 1, 20):
+        assert got(df, block_bytes=10_000, buckets=7, hot_runs=hot_runs) == want
+
+
+def test_hot_windows_spread_over_buckets():
+    rng = random.Random(3)
+    # The phrase whose gram has the least hash of many leads nearly all windows around it.
+    phrase = min(("".join(rng.choice("ijklmn") for _ in range(24)) for _ in range(3000)), key=lambda p: S._window_values(np.frombuffer(p.encode(), np.uint8), 24, 24)[0])
+    docs = [("".join(rng.choice("abcdefgh ") for _ in range(40)) + phrase + "".join(rng.choice("abcdefgh ") for _ in range(40))).encode() for _ in range(2000)]
+    cell = S.pack_parts(S.squeeze(np.arange(2000).tobytes()), S.squeeze(b"\1" * 2000), S.pack_numbers(np.array(list(map(len, docs)))), S.squeeze(b"".join(docs)))
+    loads = []
+    for hot_runs in (1 << 19, 100):
+        block = S.Block(cell, 31, S.DEPTH)
+        answers = {}
+        for b, asked in block.asks():
+            answers |= {bucket: bits for _, bucket, bits, _ in S._shared(iter([{"block": 1, "bucket": b, "cell": asked}]), hot_runs)}
+        block.share(answers)
+        loads.append(np.diff(block.string_edges))
+    assert loads[0].max() > 0.9 * loads[0].sum() and loads[1].max() < 0.1 * loads[1].sum()
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(1)
+    long = "".join(rng.choices("abcdefghij ", k=3_000_000))
+    df = spark.createDataFrame([(2, long), (1, long[1_000_000:1_000_200]), (3, long[500:100_500])], "doc_id long, text string")
+    assert [r[:4] for r in got(df, block_bytes=500_000)] == [(1, 200, 0, 0), (2, 3_000_000, 200, 1), (3, 100_000, 100_000, 1)]
