@@ -121,7 +121,7 @@ def test_hot_windows_spread_over_buckets():
             answers |= {bucket: bits for _, bucket, bits, _ in S._shared(iter([{"block": 1, "bucket": b, "cell": asked}]), hot_runs)}
         block.share(answers)
         loads.append(np.diff(block.string_edges))
-    assert loads[0].max() > 0.9 * loads[0].sum() and loads[1].max() < 0.1 * loads[1].sum()
+    assert loads[0].max() > 0.75 * loads[0].sum() and loads[1].max() < 0.1 * loads[1].sum()
 
 
 def test_a_very_long_text(spark):
