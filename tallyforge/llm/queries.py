@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, chat_query, exact_dedup, packing, quality, quality_sql, secret_scan, sharding, simhash, suffix_dedup, toxicity
+from . import bpe, chat, chat_query, exact_dedup, packing, quality, quality_sql, secret_scan, secret_sql, sharding, simhash, suffix_dedup, suffix_sql, toxicity
 from .common import documents
 
 
@@ -75,6 +75,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op3_suffix_dedup": suffix_sql.SQL,
+    "op8_secret_scan": secret_sql.SQL,
     "op5_chat_format": chat_query.SQL,
     "op6_quality_rules": quality_sql.SQL,
     "op7_exact_dedup": """

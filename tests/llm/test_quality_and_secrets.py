@@ -258,3 +258,7 @@ def test_redact(spark):
     assert secret_scan.redact(df.limit(0)).count() == 0 and secret_scan.report(df.limit(0)).count() == 0
     overlap = [{"start": 0, "end": 5, "live": False}, {"start": 3, "end": 8, "live": True}, {"start": 8, "end": 9, "live": False}]
     assert secret_scan.replaced("abcdefghij", overlap) == "<SECRET><EXAMPLE>j"
+
+
+def test_secrets_sql(spark, duck, sf):
+    same_as_sql(QUERIES["op8_secret_scan"](spark, sf), duck, ORACLE_SQL["op8_secret_scan"])

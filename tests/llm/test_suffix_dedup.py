@@ -7,6 +7,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tallyforge.llm import suffix_dedup as S
+from tallyforge.llm.queries import ORACLE_SQL, QUERIES
+from tests.conftest import same_as_sql
 
 LAST = 1 << 62
 
@@ -48,6 +50,10 @@ def test_against_brute_force(spark, sf):
     assert got(df) == want
 
 
+def test_sql(spark, duck, sf):
+    same_as_sql(QUERIES["op3_suffix_dedup"](spark, sf), duck, ORACLE_SQL["op3_suffix_dedup"])
+
+
 def test_empty_table(spark):
     assert got(spark.createDataFrame([], "doc_id long, text string")) == []
     assert got(spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")) == brute([(1, None), (2, "")])
